@@ -39,7 +39,10 @@ def join_on(left: DataFrame, right: DataFrame, on: Keys, how: str = "left", null
 def missing_keys(
     fact: DataFrame, dim: DataFrame, on: Keys, right_on: Keys | None = None, null_safe: bool = True
 ) -> DataFrame:
-    """Rows of ``fact`` whose key is absent from ``dim``; the keys may be named differently."""
+    """Rows of ``fact`` whose key is absent from ``dim``; the keys may be named differently.
+
+    ``dim`` is expected to hold each key once; reduce a table that repeats keys with ``distinct_on``.
+    """
     left_on, dim_on = as_list(on), as_list(right_on or on)
     right, hidden = _with_hidden_keys(dim.select(*[quoted(k) for k in dim_on]), dim_on)
     return fact.join(right, _condition(left_on, hidden, null_safe), "left_anti")
