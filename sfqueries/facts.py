@@ -11,7 +11,7 @@ from tallymart.functions import (
     row_sum,
     safe_ratio,
 )
-from tallymart.operators import band_reconciliation, build_fact, sum_all_numeric
+from tallymart.operators import band_reconciliation, build_fact
 from tallymart.plans.contracts import (
     ALL_FUNCTIONS,
     BAND_PATTERN,
@@ -23,6 +23,8 @@ from tallymart.plans.contracts import (
 )
 from tallymart.plans.emergency import emergency_kpis
 
+from tallymart.sources import new_stage, save_table
+
 from .base import WAITS_SQL, backlog_sums_sql, query, table, waits, with_backlog
 
 BAND_KEYS = ["report_month", "provider_org_code", "l_returnflag"]
@@ -109,15 +111,37 @@ def source_rows(spark, sf_dir):
     )
 
 
+GRAIN = ["report_month", "provider_org_code"]
+
+
+def provider_fact_of(rows):
+    return build_fact(
+        rows.filter(F.col("treatment_function_code") == ALL_FUNCTIONS), GRAIN, WAITING_MEASURES, WAITING_RATIO
+    )
+
+
+def specialty_fact_of(rows):
+    return build_fact(
+        rows.filter(F.col("treatment_function_code") != ALL_FUNCTIONS),
+        [*GRAIN, "treatment_function_code", "treatment_function_name"],
+        WAITING_MEASURES,
+        WAITING_RATIO,
+    )
+
+
 def provider_fact(spark, sf_dir):
-    rows = source_rows(spark, sf_dir).filter(F.col("treatment_function_code") == ALL_FUNCTIONS)
-    return build_fact(rows, ["report_month", "provider_org_code"], WAITING_MEASURES, WAITING_RATIO)
+    return provider_fact_of(source_rows(spark, sf_dir))
 
 
 def specialty_fact(spark, sf_dir):
-    keys = ["report_month", "provider_org_code", "treatment_function_code", "treatment_function_name"]
-    rows = source_rows(spark, sf_dir).filter(F.col("treatment_function_code") != ALL_FUNCTIONS)
-    return build_fact(rows, keys, WAITING_MEASURES, WAITING_RATIO)
+    return specialty_fact_of(source_rows(spark, sf_dir))
+
+
+def staged_totals(spark, sf_dir):
+    """Backlog by month, provider and function, saved once for queries that need both facts."""
+    keys = [*GRAIN, "treatment_function_code", "treatment_function_name"]
+    totals = build_fact(source_rows(spark, sf_dir), keys, WAITING_MEASURES)
+    return save_table(totals, f"{new_stage(spark, 'totals')}/by_function")
 
 
 PROVIDER_FACT_SQL = f"""fact_provider AS (
@@ -209,13 +233,9 @@ def emergency_rows(spark, sf_dir):
         month_start("o_orderdate").alias("report_month"), "o_custkey", "o_orderstatus", "o_orderpriority", "o_totalprice"
     )
     customers = table(spark, sf_dir, "customer").select("c_custkey", "c_nationkey")
+    placed = orders.join(customers, F.col("o_custkey") == F.col("c_custkey"))
     counts = [F.count_if(F.expr(p)).alias(n) for n, p in _emergency_sources().items()]
-    # Counted per customer first, so that the join carries one row per customer and month.
-    per_customer = orders.groupBy("report_month", "o_custkey").agg(*counts)
-    placed = per_customer.join(customers, F.col("o_custkey") == F.col("c_custkey")).withColumnRenamed(
-        "c_nationkey", "provider_code"
-    )
-    rows = sum_all_numeric(placed.drop("o_custkey", "c_custkey"), ["report_month", "provider_code"])
+    rows = placed.groupBy("report_month", F.col("c_nationkey").alias("provider_code")).agg(*counts)
     return rows.withColumn(_UNPUBLISHED, F.nullif(F.col(_UNPUBLISHED), F.lit(3)))
 
 
@@ -248,7 +268,7 @@ def emergency_fact(spark, sf_dir):
 
 @query(
     "fact_ae_kpis",
-    "K1 K2 K3 K4 K5 K6 K7 P2 P3 P8 R5 F9 A12",
+    "K1 K2 K3 K4 K5 K6 K7 P8 R5 F9",
     f"WITH {EMERGENCY_SQL} SELECT * FROM fact_ae",
 )
 def fact_ae_kpis(spark, sf_dir):

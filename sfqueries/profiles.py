@@ -155,13 +155,13 @@ def type_profile_(spark, sf_dir):
     "R2 P6",
     " UNION ALL ".join(
         f"SELECT o_orderkey, '{c}' AS metric, CAST({e} AS BIGINT) AS value FROM orders"
-        for c, e in {"o_custkey": "o_custkey", "cents": "nullif(CAST(round(o_totalprice * 100) AS BIGINT) % 10, 5)"}.items()
+        for c, e in {"o_custkey": "o_custkey", "pounds": "nullif(CAST(floor(o_totalprice) AS BIGINT), 250000)"}.items()
     ),
 )
 def wide_to_long_(spark, sf_dir):
-    cents = F.round(F.col("o_totalprice") * 100).cast("bigint") % 10
-    orders = table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", F.nullif(cents, F.lit(5)).alias("cents"))
-    assert columns_except(orders, "o_orderkey") == ["o_custkey", "cents"]
+    pounds = F.nullif(F.floor("o_totalprice"), F.lit(250000).cast("bigint"))
+    orders = table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", pounds.alias("pounds"))
+    assert columns_except(orders, "o_orderkey") == ["o_custkey", "pounds"]
     return wide_to_long(orders, "metric", "value", ids=["o_orderkey"], dtype="bigint")
 
 
@@ -178,13 +178,29 @@ def exact_duplicates_(spark, sf_dir):
     )
 
 
+@query(
+    "exact_duplicate_rows",
+    "A11",
+    """SELECT CAST(coalesce(sum(n - 1), 0) AS BIGINT) AS exact_duplicates FROM (
+  SELECT user_id, event_type, floor(value), ts, count(*) AS n FROM (
+    SELECT user_id, event_type, CASE WHEN value > 100 THEN NULL ELSE value END AS value, date_trunc('hour', ts) AS ts
+    FROM events) GROUP BY ALL)""",
+)
+def exact_duplicate_rows(spark, sf_dir):
+    value = F.floor(F.when(F.col("value") <= 100, F.col("value"))).cast("double")
+    events = table(spark, sf_dir, "events").select(
+        "user_id", "event_type", value.alias("value"), F.date_trunc("hour", "ts").alias("ts")
+    )
+    return exact_duplicates(events, digest=True)
+
+
 @query(
     "exact_duplicate_texts",
     "A11",
     "SELECT CAST(sum(n - 1) AS BIGINT) AS exact_duplicates FROM (SELECT text, count(*) AS n FROM documents GROUP BY text)",
 )
 def exact_duplicate_texts(spark, sf_dir):
-    return exact_duplicates(table(spark, sf_dir, "documents"), ["text"])
+    return exact_duplicates(table(spark, sf_dir, "documents"), ["text"], digest=True)
 
 
 @query(

@@ -6,7 +6,6 @@ from pyspark.sql import functions as F
 
 from tallymart.functions import month_start
 from tallymart.operators import (
-    build_fact,
     conflicting_attributes,
     distinct_on,
     drop_totals,
@@ -25,30 +24,28 @@ from tallymart.operators import (
     status_tally,
     unique_key_check,
 )
-from tallymart.plans.contracts import ALL_FUNCTIONS, COMPARED, WAITING_MEASURES, WAITING_RATIO
+from tallymart.plans.contracts import ALL_FUNCTIONS, COMPARED
 
 from .base import WAITS_SQL, query, table
 from .facts import (
     EMERGENCY_SQL,
+    GRAIN,
     PROVIDER_FACT_SQL,
     SPECIALTY_FACT_SQL,
     emergency_fact,
     provider_fact,
-    source_rows,
-    specialty_fact,
+    provider_fact_of,
+    specialty_fact_of,
+    staged_totals,
 )
-GRAIN = ["report_month", "provider_org_code"]
+def both_facts(spark, sf_dir):
+    """The provider fact, and a specialty fact that lacks the unspecified function.
 
-
-def unspecified_as_missing(spark, sf_dir):
-    """Source rows in which the unspecified function has no code, so that excluding a code drops it."""
-    code = F.col("treatment_function_code")
-    return source_rows(spark, sf_dir).withColumn("treatment_function_code", F.nullif(code, F.lit("C_4")))
-
-
-def fine_fact(spark, sf_dir):
-    rows = unspecified_as_missing(spark, sf_dir).filter(F.col("treatment_function_code") != ALL_FUNCTIONS)
-    return build_fact(rows, [*GRAIN, "treatment_function_code"], WAITING_MEASURES, WAITING_RATIO)
+    The unspecified function gets no code, and excluding a code drops rows without one.
+    """
+    totals = staged_totals(spark, sf_dir)
+    code = F.nullif(F.col("treatment_function_code"), F.lit("C_4"))
+    return provider_fact_of(totals), specialty_fact_of(totals.withColumn("treatment_function_code", code))
 
 
 _FINE_SUMS = ", ".join(f"CAST(sum({m}) AS BIGINT) AS fine_{m}" for m in COMPARED)
@@ -64,10 +61,10 @@ diffs AS (
 
 
 def differences(spark, sf_dir):
-    return grain_reconciliation(provider_fact(spark, sf_dir), fine_fact(spark, sf_dir), GRAIN, list(COMPARED))
+    return grain_reconciliation(*both_facts(spark, sf_dir), GRAIN, list(COMPARED))
 
 
-@query("grain_reconciliation", "V3 A14 J2 R5", f"{GRAIN_SQL} SELECT * FROM diffs")
+@query("grain_reconciliation", "V3 A14 J2 R5 S13", f"{GRAIN_SQL} SELECT * FROM diffs")
 def grain_reconciliation_(spark, sf_dir):
     return differences(spark, sf_dir)
 

@@ -15,7 +15,7 @@ from tallymart.functions import (
     strip_prefix,
     with_measures,
 )
-from tallymart.operators import count_by, drop_totals, first_n, stack, sum_all_numeric, valid_key
+from tallymart.operators import count_by, drop_totals, first_n, order, stack, sum_all_numeric, valid_key
 
 from .base import query, table
 
@@ -48,12 +48,13 @@ def keep_totals(spark, sf_dir):
 @query(
     "in_list",
     "F4 F2 P3 O1",
-    """SELECT c_custkey, c_name, c_mktsegment FROM customer
-WHERE c_mktsegment IN ('BUILDING', 'MACHINERY') AND c_nationkey = 3""",
+    """SELECT o_orderkey, o_orderdate FROM orders
+WHERE o_orderstatus = 'P' AND o_orderpriority IN ('1-URGENT', '3-MEDIUM') ORDER BY o_orderdate, o_orderkey""",
 )
 def in_list(spark, sf_dir):
-    customer = table(spark, sf_dir, "customer").filter(F.col("c_mktsegment").isin("BUILDING", "MACHINERY"))
-    return customer.filter(F.col("c_nationkey") == 3).select("c_custkey", "c_name", "c_mktsegment").orderBy("c_custkey")
+    orders = table(spark, sf_dir, "orders").filter(F.col("o_orderpriority").isin("1-URGENT", "3-MEDIUM"))
+    chosen = orders.filter(F.col("o_orderstatus") == "P").select("o_orderkey", "o_orderdate")
+    return order(chosen, "o_orderdate", "o_orderkey")
 
 
 @query(

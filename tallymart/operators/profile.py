@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -79,10 +79,12 @@ def character_profile(df: DataFrame, columns: Sequence[str] | None = None) -> Da
     """(column_name, distinct_values) of text columns, most first; a missing value counts as one.
 
     Values are made distinct per (column, value), which spreads the work over values and combines
-    repeats inside each task, rather than by one expanding distinct count per column.
+    repeats inside each task, rather than by one expanding distinct count per column. Long values
+    travel as digests.
     """
     columns = list(columns or columns_of_type(df, "character"))
-    long = wide_to_long(df.select(*[quoted(c) for c in columns]), "column_name", "__value", dtype="string")
+    short = df.select(*[short_value(quoted(c)).alias(c) for c in columns])
+    long = wide_to_long(short, "column_name", "__value", dtype="string")
     seeds = literal_table(
         df.sparkSession, [(c, None, False) for c in columns], "column_name string, __value string, __real boolean"
     )
@@ -109,12 +111,39 @@ def type_profile(df: DataFrame, spark_names: bool = False) -> DataFrame:
     return literal_table(df.sparkSession, rows, "column_name string, data_type string")
 
 
-def exact_duplicates(df: DataFrame, keys: Keys | None = None) -> DataFrame:
+def short_value(col: Column) -> Column:
+    """The text itself up to 64 characters, else its SHA-256 digest.
+
+    A digest gets a sign in front, which makes it longer than any text kept as it is.
+    """
+    return F.when(F.length(col) > 64, F.concat(F.lit("#"), F.sha2(col, 256))).otherwise(col)
+
+
+def row_digest(df: DataFrame, columns: Sequence[str]) -> Column:
+    """SHA-256 of the values of a row, the same for rows that ``GROUP BY`` would put together."""
+
+    def stable(field: T.StructField) -> Column:
+        if isinstance(field.dataType, T.FractionalType) and not isinstance(field.dataType, T.DecimalType):
+            return quoted(field.name) + F.lit(0.0)  # turns -0.0 into 0.0
+        if isinstance(field.dataType, (T.DatetimeType, T.DecimalType)):
+            return quoted(field.name).cast("string")
+        return quoted(field.name)
+
+    values = F.struct(*[stable(df.schema[c]).alias(f"_{i}") for i, c in enumerate(columns)])
+    return F.sha2(F.to_json(values, {"ignoreNullFields": "false"}), 256)
+
+
+def exact_duplicates(df: DataFrame, keys: Keys | None = None, digest: bool | None = None) -> DataFrame:
     """One row: how many rows equal an earlier row on ``keys`` (default: all columns).
 
-    Copies meet after combining inside each task, so many copies of one row cost little.
+    Copies are combined inside each task before they are shuffled. Rows of many columns (or when
+    ``digest`` says so, as for long texts) are shuffled as 32-byte digests instead of whole.
     """
-    groups = df.groupBy(*[quoted(c) for c in as_list(keys or df.columns)]).agg(F.count(F.lit(1)).alias("__n"))
+    columns = as_list(keys or df.columns)
+    if digest is None:
+        digest = len(columns) > 16
+    by = [F.unhex(row_digest(df, columns)).alias("__digest")] if digest else [quoted(c) for c in columns]
+    groups = df.groupBy(*by).agg(F.count(F.lit(1)).alias("__n"))
     extra = F.coalesce(F.sum(F.col("__n") - 1), F.lit(0))
     return groups.agg(extra.alias("exact_duplicates"))
 

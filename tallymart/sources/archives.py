@@ -29,8 +29,8 @@ def unpack_archives(spark: SparkSession, paths: Paths, target: str, member: str
     The result is plain files on shared storage, which Spark can split when it reads them.
     """
     chosen = _members(spark, paths, pattern).filter(F.col("file_name").rlike(member))
-    slots = spark.sparkContext.defaultParallelism
-    done = chosen.repartition(slots, "path", "file_name").mapInPandas(
+    tasks = max(spark.sparkContext.defaultParallelism, int(spark.conf.get("spark.sql.shuffle.partitions")))
+    done = chosen.repartition(tasks, "path", "file_name").mapInPandas(
         _tasks.unpack_rows(f"{target}/members"), "source_zip string, file_name string, file_size bigint"
     )
     done.write.mode("overwrite").parquet(f"{target}/manifest")
