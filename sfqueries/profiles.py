@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from tallymart.functions import columns_except, columns_of_type
 from tallymart.operators import (
@@ -12,6 +13,7 @@ from tallymart.operators import (
     exact_duplicates,
     missing_profile,
     numeric_profile,
+    profile_report,
     stack,
     stats_to_long,
     table_counts,
@@ -19,6 +21,9 @@ from tallymart.operators import (
     wide_to_long,
 )
 
+from tallymart.operators.profile import write_report
+from tallymart.sources import new_stage, read_csv, read_headers, save_table, write_csv
+
 from .base import query, table
 
 # Values treated as missing, so that profiles have something to find.
@@ -242,3 +247,51 @@ TABLES = [
 )
 def table_counts_(spark, sf_dir):
     return table_counts({t: table(spark, sf_dir, t) for t in TABLES})
+
+
+def _row_sql(name: str) -> str:
+    dtype = LINE_COLUMNS[name]
+    numeric, text = name in NUMERIC, dtype == "string"
+    e = f"CAST({gap(name)} AS DOUBLE)"
+    return f"""SELECT '{name}' AS column_name,
+  '{"numeric" if numeric else "character" if text else "Date"}' AS data_type,
+  count(*) - count({gap(name)}) AS missing_count,
+  round_even((count(*) - count({gap(name)})) / count(*) * 100, 2) AS missing_pct,
+  {f"min({e})" if numeric else "CAST(NULL AS DOUBLE)"} AS min, {f"max({e})" if numeric else "CAST(NULL AS DOUBLE)"} AS max,
+  {f"CAST(count_if({e} = 0) AS BIGINT)" if numeric else "CAST(NULL AS BIGINT)"} AS zero_count,
+  {f"count(DISTINCT {gap(name)}) + CAST(max(CAST({gap(name)} IS NULL AS BIGINT)) AS BIGINT)" if text else "CAST(NULL AS BIGINT)"}
+    AS distinct_values, TRUE AS in_every_file FROM lineitem"""
+
+
+@query("profile_report", "V8 S7 S10 A6 A7 A8 A9 A10", " UNION ALL ".join(map(_row_sql, LINE_COLUMNS)))
+def profile_report_(spark, sf_dir):
+    """Lines go out as CSV, come back through the header check, and are profiled; the written
+    reports are then put side by side, one row per column."""
+    stage = new_stage(spark, "profile")
+    rows = lines(spark, sf_dir).withColumn("l_shipdate", F.col("l_shipdate").cast("date"))
+    write_csv(rows, f"{stage}/raw")
+    back = save_table(read_csv(spark, f"{stage}/raw", rows.schema), f"{stage}/rows")
+    write_report(profile_report(back, read_headers(spark, f"{stage}/raw")), f"{stage}/reports")
+
+    def report(name, schema):
+        parsed = StructType.fromDDL(schema)
+        return read_csv(spark, f"{stage}/reports/{name}.csv", parsed, lineage=None)
+
+    files = report("column_counts", "file string, column_count bigint").agg(F.count(F.lit(1)).alias("files"))
+    present = report("schema_check", "column_name string, files_present bigint")
+    present = present.join(files, F.col("files_present") == F.col("files"), "left")
+    return (
+        report("type_profile", "column_name string, data_type string")
+        .join(report("missing_profile", "column_name string, missing_count bigint, missing_pct double"), "column_name")
+        .join(
+            report("numeric_profile", "metric string, min double, max double, zero_count bigint").withColumnRenamed(
+                "metric", "column_name"
+            ),
+            "column_name",
+            "left",
+        )
+        .join(report("character_profile", "column_name string, distinct_values bigint"), "column_name", "left")
+        .join(present, "column_name")
+        .withColumn("in_every_file", F.col("files").isNotNull())
+        .drop("files_present", "files")
+    )

@@ -76,7 +76,7 @@ def entity_dim(
     )
     rest = [F.col(c) for c in dict.fromkeys([*tie_break, *first, *last])]
     earliest = F.struct(F.col(source), _sort_key([F.col("__from"), *rest]))
-    latest = F.struct(F.col(source), F.col("__open"), _sort_key([F.col("__to"), *rest]))
+    latest = F.struct(F.col(source), _sort_key([F.when(~F.col("__open"), F.col("__to")), *rest]))
     picks = {c: F.max_by(c, F.when(F.col(c).isNotNull(), latest)) for c in last}
     picks.update({c: F.min_by(c, F.when(F.col(c).isNotNull(), earliest)) for c in first})
     return spans.groupBy(key).agg(
