@@ -11,7 +11,7 @@ from tallymart.functions import (
     row_sum,
     safe_ratio,
 )
-from tallymart.operators import band_reconciliation, build_fact
+from tallymart.operators import band_reconciliation, build_fact, join_on
 from tallymart.plans.contracts import (
     ALL_FUNCTIONS,
     BAND_PATTERN,
@@ -161,15 +161,19 @@ SPECIALTY_FACT_SQL = f"""fact_specialty AS (
 
 def with_provider_names(fact, spark, sf_dir):
     """Attach names after aggregating, when a provider is one row per month."""
-    names = table(spark, sf_dir, "supplier").select("s_suppkey", F.col("s_name").alias("provider_org_name"), "s_nationkey")
     parents = table(spark, sf_dir, "nation").select(
         F.col("n_nationkey").alias("provider_parent_org_code"), F.col("n_name").alias("provider_parent_name")
     )
-    return (
-        fact.join(names, F.col("provider_org_code") == F.col("s_suppkey"), "left")
-        .join(parents, F.col("s_nationkey") == F.col("provider_parent_org_code"), "left")
-        .drop("s_suppkey", "s_nationkey")
+    names = table(spark, sf_dir, "supplier").join(
+        parents, F.col("s_nationkey") == F.col("provider_parent_org_code"), "left"
     )
+    names = names.select(
+        F.col("s_suppkey").alias("provider_org_code"),
+        F.col("s_name").alias("provider_org_name"),
+        "provider_parent_org_code",
+        "provider_parent_name",
+    )
+    return join_on(fact, names, "provider_org_code", null_safe=False)
 
 
 NAMED_SQL = """LEFT JOIN supplier ON s_suppkey = provider_org_code

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import sys
+import tempfile
 import zipfile
 
 import pandas as pd
@@ -10,6 +11,7 @@ from pyspark import cloudpickle
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tallymart.functions import plain_path
 from tallymart.operators import count_by, schema_presence
 from tallymart.sources import (
     column_counts,
@@ -20,11 +22,12 @@ from tallymart.sources import (
     read_headers,
     read_zip_csv,
     save_table,
+    stack_files,
     with_lineage,
     write_csv,
     zip_catalogue,
 )
-from tallymart.sources._tasks import COPY_BYTES, open_filesystem
+from tallymart.sources._tasks import COPY_BYTES, copy_whole, open_filesystem
 from tallymart.sources.files import CSV_READ
 
 from .base import query, table
@@ -122,7 +125,7 @@ def rows_by_source(spark, sf_dir):
     write_csv(orders(spark, sf_dir), stage, ["year"])
     reader = spark.read.schema(ORDER_SCHEMA).options(**CSV_READ).option("recursiveFileLookup", True)
     scan = reader.csv(stage)
-    per_file = count_by(with_lineage(scan).withColumn("uri", F.url_decode("_metadata.file_path")), ["uri", "source_file"])
+    per_file = count_by(with_lineage(scan).withColumn("uri", plain_path("_metadata.file_path")), ["uri", "source_file"])
     listing = list_sources(spark, stage, recursive=True)
     by_path = listing.select(F.element_at(F.split("path", "/"), -2).alias("folder"), _local("path"), "file")
     # Part files of one write share a name between folders, so files are matched by path as well.
@@ -163,15 +166,11 @@ def export_check_(spark, sf_dir):
     for name in _EXPORTS[:2]:
         write_csv(table(spark, sf_dir, name), f"{stage}/{name}.csv")
     checked = export_check(spark, [f"{n}.csv" for n in _EXPORTS], stage)
-    written = list_sources(spark, stage, recursive=True).select(
-        F.element_at(F.split("path", "/"), -2).alias("file_name")
-    )
     counts = [
         count_by(read_csv(spark, f"{stage}/{n}.csv", lineage=None).select(F.lit(f"{n}.csv").alias("file_name")), "file_name", "rows")
         for n in _EXPORTS[:2]
     ]
-    found = counts[0].union(counts[1]).join(written.distinct(), "file_name", "left_semi")
-    return checked.join(found, "file_name", "left")
+    return checked.join(stack_files(counts), "file_name", "left")
 
 
 # ---- Archives ----
@@ -187,12 +186,14 @@ def pack_rows(batches):
             filesystem, local = open_filesystem(path)
             folder, name = local.rsplit("/", 2)[-2:]
             target = f"{local.rsplit('/', 3)[0]}/zip/{folder}-{name.removesuffix('.csv')}.zip"
-            filesystem.create_dir(target.rsplit("/", 1)[0], recursive=True)
-            with filesystem.open_output_stream(target) as out, zipfile.ZipFile(out, "w", zipfile.ZIP_DEFLATED) as archive:
-                archive.writestr("notes/readme.txt", "extract\n")
-                with filesystem.open_input_stream(local) as source, archive.open(f"extract/{name}", "w") as member:
-                    while block := source.read(COPY_BYTES):
-                        member.write(block)
+            with tempfile.TemporaryFile() as spool:
+                with zipfile.ZipFile(spool, "w", zipfile.ZIP_DEFLATED) as archive:
+                    archive.writestr("notes/readme.txt", "extract\n")
+                    with filesystem.open_input_stream(local) as source, archive.open(f"extract/{name}", "w") as member:
+                        while block := source.read(COPY_BYTES):
+                            member.write(block)
+                spool.seek(0)
+                copy_whole(spool, filesystem, target)
             packed.append(target)
         yield pd.DataFrame({"archive": packed})
 

@@ -60,7 +60,7 @@ def _facts(spark, sf_dir):
 
 def star(spark, sf_dir):
     stage = new_stage(spark, "star")
-    tables = {n: save_table(t, f"{stage}/{n}", ["report_month"]) for n, t in _facts(spark, sf_dir).items()}
+    tables = {n: save_table(t, f"{stage}/{n}") for n, t in _facts(spark, sf_dir).items()}
     dims = model.build_dimensions(tables)
     tables.update({n: save_table(t, f"{stage}/{n}") for n, t in dims.items()})
     return tables

@@ -9,7 +9,7 @@ from .names import (
     unique_clean_names,
 )
 from .rowwise import band_thresholds, row_sum, safe_ratio, with_measures
-from .text import base_name, missing_text, strip_prefix
+from .text import base_name, missing_text, plain_path, strip_prefix
 
 __all__ = [
     "band_lookup",
@@ -25,6 +25,7 @@ __all__ = [
     "month_spine",
     "month_start",
     "parse_month",
+    "plain_path",
     "row_sum",
     "safe_ratio",
     "strip_prefix",

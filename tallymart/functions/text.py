@@ -25,3 +25,9 @@ def missing_text(col, markers: tuple[str, ...] = ("", "NA")) -> Column:
 def base_name(col) -> Column:
     """Last component of a ``/``-separated path."""
     return F.element_at(F.split(as_col(col), "/"), -1)
+
+
+def plain_path(col) -> Column:
+    """A path or file name without the percent signs that ``_metadata`` columns carry."""
+    c = as_col(col)
+    return F.when(c.contains("%"), F.url_decode(F.replace(c, F.lit("+"), F.lit("%2B")))).otherwise(c)

@@ -25,9 +25,48 @@ def open_filesystem(uri: str):
         return fs.LocalFileSystem(), "/" + uri[len("file:") :].lstrip("/")
     if "://" not in uri:
         return fs.LocalFileSystem(), uri
+    for hadoop_name in ("s3a://", "s3n://"):
+        if uri.startswith(hadoop_name):
+            uri = "s3://" + uri[len(hadoop_name) :]
     return fs.FileSystem.from_uri(uri)
 
 
+def copy_whole(source, filesystem, final: str) -> int:
+    """Copy a stream to ``final`` and return its size.
+
+    The file is written under a hidden name, which Spark's readers skip, and renamed when whole. A
+    lost or repeated task therefore leaves either nothing visible or the same file again.
+    """
+    from pyarrow import fs
+
+    folder, name = posixpath.split(final)
+    partial = posixpath.join(folder, f".{name}.{uuid.uuid4().hex}")
+    filesystem.create_dir(folder, recursive=True)
+    size = 0
+    with filesystem.open_output_stream(partial) as sink:
+        while block := source.read(COPY_BYTES):
+            sink.write(block)
+            size += len(block)
+    try:
+        filesystem.move(partial, final)
+    except OSError:
+        # Some file systems refuse to replace a file; then another attempt has finished this one.
+        if filesystem.get_file_info(final).type != fs.FileType.File:
+            raise
+        filesystem.delete_file(partial)
+    return size
+
+
+def staged_name(member: str) -> str:
+    """Where a member goes below its archive's folder. Spark skips names that start with ``_`` or
+    ``.``, so folders get a letter in front; a file name is lineage and stays as it is."""
+    parts = [p for p in member.split("/") if p not in ("", ".", "..")]
+    if parts[-1].startswith("_"):
+        raise ValueError(f"Spark does not read files whose name starts with '_': {member}")
+    folders = ["d" + p if p[0] in "._" else p for p in parts[:-1]]
+    return posixpath.join(*folders, parts[-1])
+
+
 def header_rows(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     """First CSV record of each file; nothing after it is read."""
     for batch in batches:
@@ -58,31 +97,18 @@ def member_rows(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
 
 
 def unpack_rows(target: str):
-    """A task that copies archive members to ``target/<archive>/<member>``.
-
-    A member is written under a hidden name and renamed when whole, so a lost or repeated task
-    leaves either nothing visible or the same file again.
-    """
+    """A task that copies archive members to ``target/<archive>/<member>``."""
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        out_fs, root = open_filesystem(target)
+        out, root = open_filesystem(target)
         for batch in batches:
             written = []
             for row in batch.itertuples(index=False):
-                parts = [p for p in row.file_name.split("/") if p not in ("", ".", "..")]
-                final = posixpath.join(root, row.source_zip, *parts)
-                folder, name = posixpath.split(final)
-                partial = posixpath.join(folder, f".{name}.{uuid.uuid4().hex}")
-                out_fs.create_dir(folder, recursive=True)
                 filesystem, local = open_filesystem(row.path)
-                size = 0
                 with filesystem.open_input_file(local) as raw, zipfile.ZipFile(raw) as archive:
-                    with archive.open(row.file_name) as member, out_fs.open_output_stream(partial) as sink:
-                        while block := member.read(COPY_BYTES):
-                            sink.write(block)
-                            size += len(block)
-                out_fs.move(partial, final)
-                written.append(size)
+                    with archive.open(row.file_name) as member:
+                        final = posixpath.join(root, row.source_zip, staged_name(row.file_name))
+                        written.append(copy_whole(member, out, final))
             yield pd.DataFrame(
                 {
                     "source_zip": batch["source_zip"],

@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ..functions.text import base_name
 from . import _tasks
 from .files import Paths, list_sources, read_csv
 from .staging import new_stage
@@ -28,7 +29,8 @@ def unpack_archives(spark: SparkSession, paths: Paths, target: str, member: str
     The unit of work is a member, not an archive, so a large archive is spread over the cluster.
     The result is plain files on shared storage, which Spark can split when it reads them.
     """
-    chosen = _members(spark, paths, pattern).filter(F.col("file_name").rlike(member))
+    hidden = base_name("file_name").startswith(".")
+    chosen = _members(spark, paths, pattern).filter(F.col("file_name").rlike(member) & ~hidden)
     tasks = max(spark.sparkContext.defaultParallelism, int(spark.conf.get("spark.sql.shuffle.partitions")))
     done = chosen.repartition(tasks, "path", "file_name").mapInPandas(
         _tasks.unpack_rows(f"{target}/members"), "source_zip string, file_name string, file_size bigint"

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Sequence
 from functools import reduce
 
@@ -12,7 +13,7 @@ from pyspark.sql import types as T
 
 from ..functions._columns import quoted
 from ..functions.names import unique_clean_names
-from ..functions.text import base_name, missing_text
+from ..functions.text import base_name, missing_text, plain_path
 from . import _tasks
 
 Paths = str | Sequence[str]
@@ -21,6 +22,9 @@ Paths = str | Sequence[str]
 CSV_DIALECT = {"header": True, "nullValue": "NA", "quote": '"', "escape": '"', "encoding": "UTF-8"}
 CSV_READ = {**CSV_DIALECT, "ignoreLeadingWhiteSpace": True, "ignoreTrailingWhiteSpace": True}
 
+# Signs with a meaning in the paths Spark is given.
+GLOB_SIGNS = re.compile(r"[\[\]{}*?\\]")
+
 # Distinct column layouts one read may hold. More than this means the folder mixes unrelated files.
 MAX_LAYOUTS = 500
 
@@ -58,7 +62,7 @@ def column_counts(headers: DataFrame, file: str = "file") -> DataFrame:
 
 def with_lineage(df: DataFrame, name: str = "source_file") -> DataFrame:
     """Add the base name of the file each row came from; apply directly on a file scan."""
-    return df.withColumn(name, F.col("_metadata.file_name"))
+    return df.withColumn(name, plain_path("_metadata.file_name"))
 
 
 def stack_files(dfs: Sequence[DataFrame]) -> DataFrame:
@@ -110,7 +114,7 @@ def read_csv(
             reader = reader.option("pathGlobFilter", pattern).option("recursiveFileLookup", recursive)
             raw = reader.csv(paths if isinstance(paths, str) else list(paths))
         else:
-            raw = reader.csv(members[digest])
+            raw = reader.csv([GLOB_SIGNS.sub(r"\\\g<0>", p) for p in members[digest]])
         wanted = list(declared) if schema else list(names)
         if schema and keep_extra:
             wanted += [n for n in names if n not in declared]
@@ -123,7 +127,7 @@ def read_csv(
             else:
                 columns.append(quoted(n))
         if lineage:
-            columns.append(F.col("_metadata.file_name").alias(lineage))
+            columns.append(plain_path("_metadata.file_name").alias(lineage))
         scans.append(raw.select(*columns))
     return stack_files(scans)
 

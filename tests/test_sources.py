@@ -54,6 +54,16 @@ def test_columns_bind_by_name_in_every_layout(spark, tmp_path):
     assert read_csv(spark, str(tmp_path), SCHEMA, recursive=False).count() == 1
 
 
+def test_awkward_file_names(spark, tmp_path):
+    names = ["a [1].csv", "b{x,y}.csv", "c%20d.csv", "e*f+g.csv"]
+    for i, name in enumerate(names):
+        order = "code,n" if i % 2 else "n,code"
+        write(tmp_path / "x y" / name, f"{order}\n{i},{i}\n")
+    got = read_csv(spark, str(tmp_path / "x y"), SCHEMA)
+    assert as_set(got.select("code", "n")) == {(str(i), i) for i in range(4)}
+    assert got.select("source_file").distinct().count() == 4
+
+
 def test_missing_cells(spark, tmp_path):
     write(tmp_path / "a.csv", 'code,name,n\n,NA,NA\n"","  ",\n x ," y y ", 7 \n"NA","a,""b""",3\n')
     got = read_csv(spark, str(tmp_path), SCHEMA, lineage=None)
@@ -133,10 +143,12 @@ def test_export_check(spark, tmp_path):
 def test_archives(spark, tmp_path):
     write_zip(
         tmp_path / "one.zip",
-        {"a.csv": "code,n\nA,1\n", "deep/er/b.csv": "n,code\n2,B\n", "deep/notes.txt": "skip", "../up.csv": "code,n\nU,9\n"},
+        {"__MACOSX/._a.csv": "junk", "_b/c.csv": "code,n\nD,4\n", "a.csv": "code,n\nA,1\n", "deep/er/b.csv": "n,code\n2,B\n", "deep/notes.txt": "skip", "../up.csv": "code,n\nU,9\n"},
     )
     write_zip(tmp_path / "two.zip", {"a.csv": "code,n\nC,3\n"})
     assert as_set(zip_catalogue(spark, str(tmp_path))) == {
+        ("one.zip", "__MACOSX/._a.csv", 4),
+        ("one.zip", "_b/c.csv", 11),
         ("one.zip", "a.csv", 11),
         ("one.zip", "deep/er/b.csv", 11),
         ("one.zip", "deep/notes.txt", 4),
@@ -148,6 +160,7 @@ def test_archives(spark, tmp_path):
         ("A", None, 1, "a.csv"),
         ("B", None, 2, "b.csv"),
         ("C", None, 3, "a.csv"),
+        ("D", None, 4, "c.csv"),
         ("U", None, 9, "up.csv"),
     }
     assert not (tmp_path / "up.csv").exists()
@@ -160,6 +173,12 @@ def test_large_member_is_copied_whole(spark, tmp_path):
     assert got.count() == 300_000 and got.agg({"n": "sum"}).first()[0] == 300_000 * 299_999 // 2
 
 
+def test_a_member_spark_would_skip_is_an_error(spark, tmp_path):
+    write_zip(tmp_path / "one.zip", {"_a.csv": "code,n\nA,1\n"})
+    with pytest.raises(Exception, match="starts with '_'"):
+        read_zip_csv(spark, str(tmp_path), SCHEMA)
+
+
 def test_stage_is_the_configured_folder(spark):
     assert new_stage(spark, "x").startswith(spark.conf.get("spark.checkpoint.dir"))
     assert shared_root(spark) == spark.conf.get("spark.checkpoint.dir")
