@@ -10,7 +10,7 @@ import sys
 from pyspark.sql import DataFrame, SparkSession
 
 from tallymart.operators import profile_report
-from tallymart.operators.profile import write_report
+from tallymart.operators.profile import COMPILED_COLUMNS, write_report
 from tallymart.plans import contracts as C
 from tallymart.plans import emergency, model, waiting
 from tallymart.sources import export_check, new_stage, read_headers, save_table, write_csv
@@ -31,7 +31,8 @@ def build_model(spark: SparkSession, raw_emergency: str, raw_archives: str, out:
     """Build the facts and dimensions as Parquet under ``out`` and return them."""
     stage = new_stage(spark, "model")
     raw = emergency.read_emergency(spark, raw_emergency)
-    incomplete = waiting.incomplete_pathways(waiting.read_waiting(spark, raw_archives, f"{stage}/unzip"))
+    rows = waiting.read_waiting(spark, raw_archives, f"{stage}/unzip", part=C.INCOMPLETE)
+    incomplete = waiting.incomplete_pathways(rows)
     totals = save_table(waiting.function_totals(incomplete), f"{stage}/function_totals")
     tables = {
         "fact_ae": emergency.emergency_fact(raw),
@@ -58,15 +59,18 @@ def write_validation(spark: SparkSession, tables: dict[str, DataFrame], out: str
     return write_report(reports, f"{out}/validation")
 
 
-def write_profile(spark: SparkSession, raw_archives: str, out: str) -> list[str]:
+def write_profile(
+    spark: SparkSession, raw_archives: str, out: str, per_scan: int | None = COMPILED_COLUMNS
+) -> list[str]:
     """The seven profile tables of the waiting-list files.
 
-    Text is parsed once into staged Parquet; each profile then reads only what it needs.
+    Text is parsed once into staged Parquet; each profile then reads only what it needs, in narrow
+    scans unless ``per_scan`` is None.
     """
     stage = new_stage(spark, "profile")
     folder = unpack_archives(spark, raw_archives, f"{stage}/unzip")
     rows = save_table(read_csv(spark, folder, C.WAITING_SCHEMA, clean=True, keep_extra=True), f"{stage}/rows")
-    return write_report(profile_report(rows, read_headers(spark, folder)), f"{out}/data_quality", "rtt_")
+    return write_report(profile_report(rows, read_headers(spark, folder), per_scan=per_scan), f"{out}/data_quality", "rtt_")
 
 
 def main(argv: list[str]) -> None:

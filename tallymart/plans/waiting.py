@@ -17,9 +17,10 @@ from ..sources import read_zip_csv
 from . import contracts as C
 
 
-def read_waiting(spark: SparkSession, archives: str, stage: str | None = None) -> DataFrame:
-    """All archive members as one table with cleaned names and ``source_file``."""
-    return read_zip_csv(spark, archives, C.WAITING_SCHEMA, stage=stage, clean=True)
+def read_waiting(spark: SparkSession, archives: str, stage: str | None = None, part: str | None = None) -> DataFrame:
+    """All archive members, or their rows of one part type, with cleaned names and ``source_file``."""
+    where = {"rtt_part_type": part} if part else None
+    return read_zip_csv(spark, archives, C.WAITING_SCHEMA, stage=stage, clean=True, where=where)
 
 
 def incomplete_pathways(raw: DataFrame) -> DataFrame:

@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import re
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 from functools import reduce
 
 from pyspark.errors import AnalysisException
@@ -81,6 +81,7 @@ def read_csv(
     recursive: bool = True,
     lineage: str | None = "source_file",
     multiline: bool = False,
+    where: Mapping[str, str] | None = None,
 ) -> DataFrame:
     """Read header CSVs by column **name**, whatever the column order of each file.
 
@@ -88,7 +89,8 @@ def read_csv(
     header line (first lines only) and each distinct layout becomes one scan in its own order.
     Declared columns a layout lacks are null; undeclared ones are dropped unless ``keep_extra``.
     ``clean`` matches the schema against cleaned names. Without a schema everything is text.
-    Blank cells and ``NA`` are null, and text is trimmed.
+    Blank cells and ``NA`` are null, and text is trimmed. ``where`` keeps rows whose text columns
+    equal the given values; the scan then skips the other rows before converting their cells.
     """
     headers = _headers(spark, paths, pattern, recursive)
     headers = headers.filter(F.size("header") > 0).withColumn("digest", F.sha2(F.to_json("header"), 256))
@@ -115,6 +117,9 @@ def read_csv(
             raw = reader.csv(paths if isinstance(paths, str) else list(paths))
         else:
             raw = reader.csv([GLOB_SIGNS.sub(r"\\\g<0>", p) for p in members[digest]])
+        for n, value in (where or {}).items():
+            # The exact test comes after trimming; this weaker one can be pushed into the scan.
+            raw = raw.filter(quoted(n).contains(value) if n in names else F.lit(False))
         wanted = list(declared) if schema else list(names)
         if schema and keep_extra:
             wanted += [n for n in names if n not in declared]
@@ -129,7 +134,10 @@ def read_csv(
         if lineage:
             columns.append(plain_path("_metadata.file_name").alias(lineage))
         scans.append(raw.select(*columns))
-    return stack_files(scans)
+    out = stack_files(scans)
+    for n, value in (where or {}).items():
+        out = out.filter(quoted(n) == value)
+    return out
 
 
 def _unique(layout: Sequence[str]) -> list[str]:

@@ -174,6 +174,21 @@ def test_profiles(spark):
     assert rows(whole) == [("n", -2, 1)]
 
 
+@pytest.mark.parametrize("per_scan", [None, 1, 7, 100])
+def test_wide_profiles_are_the_same_in_one_or_many_scans(spark, per_scan):
+    names = [f"c{i}" for i in range(40)]
+    data = [tuple(None if (i + j) % 5 == 0 else i - j for i in range(40)) for j in range(30)]
+    df = spark.createDataFrame(data, ", ".join(f"{n} int" for n in names))
+    got = {r.metric: (r.min, r.max, r.zero_count, r.negative_count) for r in numeric_profile(df, per_scan=per_scan).collect()}
+    missing = {r.column_name: r.missing_count for r in missing_profile(df, per_scan).collect()}
+    for i, n in enumerate(names):
+        known = [row[i] for row in data if row[i] is not None]
+        assert got[n] == (min(known), max(known), known.count(0), sum(v < 0 for v in known))
+        assert missing[n] == len(data) - len(known)
+    empty = df.filter("false")
+    assert numeric_profile(empty, per_scan=per_scan).filter("min IS NULL AND zero_count = 0").count() == 40
+
+
 def test_profiles_of_an_empty_table_keep_their_columns(spark):
     df = spark.createDataFrame([], "s string, n int")
     assert rows(missing_profile(df)) == [("n", 0, None), ("s", 0, None)]

@@ -71,6 +71,15 @@ def test_missing_cells(spark, tmp_path):
     assert got.count() == 4
 
 
+def test_rows_can_be_chosen_in_the_scan(spark, tmp_path):
+    write(tmp_path / "a.csv", 'code,n\n A ,1\nAB,2\n" A",3\nB,4\n,5\n')
+    write(tmp_path / "b.csv", "n\n6\n")
+    got = read_csv(spark, str(tmp_path), SCHEMA, lineage=None, where={"code": "A"})
+    assert {r.n for r in got.collect()} == {1, 3}
+    plan = got._jdf.queryExecution().executedPlan().toString()
+    assert "StringContains(code,A)" in plan
+
+
 def test_clean_headers_and_repeats(spark, tmp_path):
     write(tmp_path / "a.csv", "Total,total,Total All\n1,2,3\n")
     assert as_set(read_csv(spark, str(tmp_path), clean=True, lineage=None)) == {("1", "2", "3")}
