@@ -78,7 +78,7 @@ def non_missing_sums_(spark, sf_dir):
     "sum_all_numeric",
     "A12 P4 UD3",
     """SELECT p_type, CAST(sum(p_partkey) AS BIGINT) AS p_partkey, CAST(sum(nullif(p_size, 50)) AS BIGINT) AS p_size,
-  CAST(sum(CAST(round(p_retailprice * 100) AS BIGINT)) AS BIGINT) AS price_pence FROM part GROUP BY ALL""",
+  CAST(sum(CAST(floor(p_retailprice * 100 + 0.5) AS BIGINT)) AS BIGINT) AS price_pence FROM part GROUP BY ALL""",
 )
 def sum_all_numeric_(spark, sf_dir):
     part = table(spark, sf_dir, "part").select(
@@ -86,7 +86,7 @@ def sum_all_numeric_(spark, sf_dir):
         "p_name",
         "p_partkey",
         F.nullif(F.col("p_size"), F.lit(50)).alias("p_size"),
-        F.round(F.col("p_retailprice") * 100).cast("bigint").alias("price_pence"),
+        F.floor(F.col("p_retailprice") * 100 + 0.5).alias("price_pence"),
     )
     return sum_all_numeric(part, "p_type")
 

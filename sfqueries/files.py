@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tallymart.functions import plain_path
-from tallymart.operators import count_by, schema_presence
+from tallymart.operators import count_by, guess_types, schema_presence
 from tallymart.sources import (
     column_counts,
     export_check,
@@ -83,6 +83,30 @@ def csv_round_trip(spark, sf_dir):
     return back.withColumn("has_source", F.col("source_file").endswith(".csv")).drop("source_file")
 
 
+_GUESSED = {
+    "o_orderkey": ("numeric", "o_orderkey"),
+    "o_custkey": ("numeric", "nullif(o_custkey, 7)"),
+    "o_orderstatus": ("character", "o_orderstatus"),
+    "o_totalprice": ("numeric", "o_totalprice"),
+    "o_orderdate": ("Date", "o_orderdate"),
+    "o_orderpriority": ("character", "CASE WHEN year(o_orderdate) < 1998 THEN nullif(o_orderpriority, '5-LOW') END"),
+    "urgent": ("logical", "o_orderpriority"),
+}
+
+
+@query(
+    "guess_types",
+    "S5 A10 X20",
+    " UNION ALL ".join(
+        f"SELECT '{c}' AS column_name, '{t}' AS data_type, count({e}) AS present FROM orders"
+        for c, (t, e) in _GUESSED.items()
+    ),
+)
+def guess_types_(spark, sf_dir):
+    """Types guessed from CSV text, as there is no schema."""
+    return guess_types(read_csv(spark, write_drifted(spark, sf_dir, "guess"), keep_extra=True, lineage=None))
+
+
 def _headers_by_year(spark, sf_dir):
     headers = read_headers(spark, write_drifted(spark, sf_dir, "headers"))
     folder = F.element_at(F.split("path", "/"), -2)

@@ -95,8 +95,8 @@ def published_lines(spark, sf_dir):
         F.col("l_returnflag").alias("source_file"),
         F.col("l_linestatus").alias("period"),
         F.col("l_quantity").cast("bigint").alias("quantity"),
-        F.round(F.col("l_extendedprice") * 100).cast("bigint").alias("price_pence"),
-        F.round(F.col("l_tax") * 100).cast("bigint").alias("tax_points"),
+        F.floor(F.col("l_extendedprice") * 100 + 0.5).alias("price_pence"),
+        F.floor(F.col("l_tax") * 100 + 0.5).alias("tax_points"),
     )
     totals = lines.groupBy("source_file").agg(
         F.lit("Total").alias("period"),
@@ -114,8 +114,8 @@ def totals_check(spark, sf_dir):
 
 _METRICS = {
     "quantity": ("CAST(l_quantity AS BIGINT)", "+ CASE WHEN l_returnflag = 'A' THEN 1 ELSE 0 END"),
-    "price_pence": ("CAST(round(l_extendedprice * 100) AS BIGINT)", ""),
-    "tax_points": ("CAST(round(l_tax * 100) AS BIGINT)", "+ NULL"),
+    "price_pence": ("CAST(floor(l_extendedprice * 100 + 0.5) AS BIGINT)", ""),
+    "tax_points": ("CAST(floor(l_tax * 100 + 0.5) AS BIGINT)", "+ NULL"),
 }
 TOTALS_SQL = "checked AS (" + " UNION ALL ".join(
     f"""SELECT l_returnflag AS source_file, '{m}' AS metric,

@@ -48,12 +48,14 @@ def keep_totals(spark, sf_dir):
 @query(
     "in_list",
     "F4 F2 P3 O1",
-    """SELECT o_orderkey, o_orderdate FROM orders
+    """SELECT o_orderkey, CAST(o_orderdate AS DATE) AS o_orderdate FROM orders
 WHERE o_orderstatus = 'P' AND o_orderpriority IN ('1-URGENT', '3-MEDIUM') ORDER BY o_orderdate, o_orderkey""",
 )
 def in_list(spark, sf_dir):
     orders = table(spark, sf_dir, "orders").filter(F.col("o_orderpriority").isin("1-URGENT", "3-MEDIUM"))
-    chosen = orders.filter(F.col("o_orderstatus") == "P").select("o_orderkey", "o_orderdate")
+    chosen = orders.filter(F.col("o_orderstatus") == "P").select(
+        "o_orderkey", F.col("o_orderdate").cast("date").alias("o_orderdate")
+    )
     return order(chosen, "o_orderdate", "o_orderkey")
 
 

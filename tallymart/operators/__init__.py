@@ -20,6 +20,8 @@ from .ordering import first_n, order
 from .profile import (
     character_profile,
     exact_duplicates,
+    guess_schema,
+    guess_types,
     missing_profile,
     numeric_profile,
     profile_report,
@@ -64,6 +66,8 @@ __all__ = [
     "first_n",
     "foreign_key_check",
     "grain_reconciliation",
+    "guess_schema",
+    "guess_types",
     "issue_count",
     "join_on",
     "latest_period",

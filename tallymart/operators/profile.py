@@ -42,13 +42,18 @@ def schema_presence(headers: DataFrame, file: str = "file") -> DataFrame:
     return order(count_by(pairs, "column_name", "files_present"), "files_present", "column_name")
 
 
+def _place(name: str, columns: Sequence[str]) -> Column:
+    """Position of a column name in a table, to sort report rows by."""
+    return F.array_position(F.array(*map(F.lit, columns)), F.col(name))
+
+
 def _scans(columns: Sequence[str], per_scan: int | None) -> list[list[str]]:
     size = per_scan or max(len(columns), 1)
     return [list(columns[i : i + size]) for i in range(0, len(columns), size)]
 
 
 def missing_profile(df: DataFrame, per_scan: int | None = None) -> DataFrame:
-    """(column_name, missing_count, missing_pct), most missing first.
+    """(column_name, missing_count, missing_pct), most missing first, ties in column order.
 
     One pass by default; ``per_scan`` as in ``numeric_profile``.
     """
@@ -59,7 +64,7 @@ def missing_profile(df: DataFrame, per_scan: int | None = None) -> DataFrame:
     missing = F.col("__rows") - F.col("__present")
     pct = F.when(F.col("__rows") > 0, F.bround(missing / F.col("__rows") * 100, 2))
     out = stack(*parts).select("column_name", missing.alias("missing_count"), pct.alias("missing_pct"))
-    return order(out, "-missing_count", "column_name")
+    return out.orderBy(F.desc("missing_count"), _place("column_name", df.columns))
 
 
 # Statistics of a numeric column.
@@ -72,7 +77,7 @@ NUMERIC_STATS = {
 
 
 def numeric_profile(df: DataFrame, columns: Sequence[str] | None = None, per_scan: int | None = None) -> DataFrame:
-    """(metric, min, max, zero_count, negative_count) of numeric columns.
+    """(metric, min, max, zero_count, negative_count) of numeric columns, in column order.
 
     One pass by default, which suits text, derived and small tables. ``per_scan`` says how many
     columns one scan takes: for a large, wide table stored by column, narrow scans read the same
@@ -85,16 +90,20 @@ def numeric_profile(df: DataFrame, columns: Sequence[str] | None = None, per_sca
     dtype = "bigint" if whole else "double"
     values = df.select(*[quoted(c).cast(dtype).alias(c) for c in columns])
     if per_scan or len(columns) <= COMPILED_COLUMNS:
-        return stack(*[stats_to_long(values.select(*map(quoted, part)), part, NUMERIC_STATS) for part in _scans(columns, per_scan)])
+        scans = [(values.select(*map(quoted, part)), part) for part in _scans(columns, per_scan)]
+        out = stack(*[stats_to_long(narrow, part, NUMERIC_STATS) for narrow, part in scans])
+        return out.orderBy(_place("metric", columns))
     long = wide_to_long(values, "metric", "__value")
     # A null per column, so that an empty table still yields its columns.
     seeds = literal_table(df.sparkSession, [(c, None) for c in columns], f"metric string, __value {dtype}")
     stats = [make(F.col("__value")).alias(name) for name, make in NUMERIC_STATS.items()]
-    return long.unionByName(seeds).groupBy("metric").agg(*stats)
+    return long.unionByName(seeds).groupBy("metric").agg(*stats).orderBy(_place("metric", columns))
 
 
 def character_profile(df: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:
-    """(column_name, distinct_values) of text columns, most first; a missing value counts as one.
+    """(column_name, distinct_values) of text columns, most first, ties in column order.
+
+    A missing value counts as one.
 
     Values are made distinct per (column, value), which spreads the work over values and combines
     repeats inside each task, rather than by one expanding distinct count per column. Long values
@@ -102,18 +111,12 @@ def character_profile(df: DataFrame, columns: Sequence[str] | None = None) -> Da
     """
     columns = list(columns or columns_of_type(df, "character"))
     short = df.select(*[short_value(quoted(c)).alias(c) for c in columns])
-    long = wide_to_long(short, "column_name", "__value", dtype="string")
-    seeds = literal_table(
-        df.sparkSession, [(c, None, False) for c in columns], "column_name string, __value string, __real boolean"
-    )
-    values = (
-        long.withColumn("__real", F.lit(True))
-        .unionByName(seeds)
-        .groupBy("column_name", "__value")
-        .agg(F.bool_or("__real").alias("__real"))
-    )
-    out = values.groupBy("column_name").agg(F.count_if("__real").alias("distinct_values"))
-    return order(out, "-distinct_values", "column_name")
+    values = wide_to_long(short, "column_name", "__value", dtype="string").distinct()
+    # A zero per column, so that an empty table still yields its columns.
+    zeros = literal_table(df.sparkSession, [(c, 0) for c in columns], "column_name string, distinct_values bigint")
+    counts = stack(count_by(values, "column_name", "distinct_values"), zeros)
+    out = counts.groupBy("column_name").agg(F.max("distinct_values").alias("distinct_values"))
+    return out.orderBy(F.desc("distinct_values"), _place("column_name", columns))
 
 
 def type_label(dtype: T.DataType) -> str:
@@ -130,11 +133,11 @@ def type_profile(df: DataFrame, spark_names: bool = False) -> DataFrame:
 
 
 def short_value(col: Column) -> Column:
-    """The text itself up to 64 characters, else its SHA-256 digest.
+    """The text itself up to 64 bytes, else its SHA-256 digest.
 
     A digest gets a sign in front, which makes it longer than any text kept as it is.
     """
-    return F.when(F.length(col) > 64, F.concat(F.lit("#"), F.sha2(col, 256))).otherwise(col)
+    return F.when(F.octet_length(col) > 64, F.concat(F.lit("#"), F.sha2(col, 256))).otherwise(col)
 
 
 def row_digest(df: DataFrame, columns: Sequence[str]) -> Column:
@@ -151,6 +154,37 @@ def row_digest(df: DataFrame, columns: Sequence[str]) -> Column:
     return F.sha2(F.to_json(values, {"ignoreNullFields": "false"}), 256)
 
 
+# Types a text column may turn out to have, in order of preference, with the test each value must pass.
+GUESSES = {
+    "logical": lambda v: F.upper(v).isin("T", "F", "TRUE", "FALSE"),
+    "numeric": lambda v: v.try_cast("double").isNotNull(),
+    "Date": lambda v: v.rlike(r"^\d{4}-\d{2}-\d{2}$") & v.try_cast("date").isNotNull(),
+}
+GUESSED_TYPES = {"logical": "boolean", "numeric": "double", "Date": "date", "character": "string"}
+
+
+def guess_types(df: DataFrame) -> DataFrame:
+    """(column_name, data_type, present) of text columns by what all their values look like, in one pass.
+
+    A column without any value counts as logical.
+    """
+    columns = columns_of_type(df, "character")
+    v = F.col("__value")
+    long = wide_to_long(df.select(*map(quoted, columns)), "column_name", "__value", dtype="string")
+    seeds = literal_table(df.sparkSession, [(c, None) for c in columns], "column_name string, __value string")
+    tests = [F.bool_and(F.when(v.isNotNull(), test(v))).alias(label) for label, test in GUESSES.items()]
+    seen = stack(long, seeds).groupBy("column_name").agg(F.count(v).alias("present"), *tests)
+    first_kept = F.coalesce(*[F.when(F.coalesce(label, F.lit(True)), F.lit(label)) for label in GUESSES], F.lit("character"))
+    out = seen.select("column_name", first_kept.alias("data_type"), "present")
+    return out.orderBy(_place("column_name", columns))
+
+
+def guess_schema(df: DataFrame) -> T.StructType:
+    """A schema for ``read_csv`` from a table read as text. Runs one pass; one row per column is collected."""
+    kinds = {r.column_name: GUESSED_TYPES[r.data_type] for r in guess_types(df).collect()}
+    return T.StructType([T.StructField(n, T.StructType.fromDDL(f"x {t}")[0].dataType) for n, t in kinds.items()])
+
+
 def exact_duplicates(df: DataFrame, keys: Keys | None = None, digest: bool | None = None) -> DataFrame:
     """One row: how many rows equal an earlier row on ``keys`` (default: all columns).
 

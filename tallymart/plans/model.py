@@ -16,6 +16,7 @@ from ..operators import (
     grain_reconciliation,
     issue_count,
     missing_keys,
+    order,
     qa_summary,
     range_check,
     reconciliation_summary,
@@ -163,7 +164,7 @@ def validate(t: Tables) -> dict[str, DataFrame]:
     return {
         "model_row_counts": table_counts({n: t[n] for n in C.MODEL_TABLES}),
         "qa_summary": quality_checks(t),
-        "rtt_provider_specialty_reconciliation": differences,
+        "rtt_provider_specialty_reconciliation": order(differences, "report_month", "provider_org_code"),
         "rtt_reconciliation_summary": reconciliation_summary(
             differences,
             "total_waiting_difference",

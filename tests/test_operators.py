@@ -23,6 +23,8 @@ from tallymart.operators import (
     first_n,
     foreign_key_check,
     grain_reconciliation,
+    guess_schema,
+    guess_types,
     latest_period,
     match_tally,
     missing_keys,
@@ -191,13 +193,27 @@ def test_wide_profiles_are_the_same_in_one_or_many_scans(spark, per_scan):
 
 def test_profiles_of_an_empty_table_keep_their_columns(spark):
     df = spark.createDataFrame([], "s string, n int")
-    assert rows(missing_profile(df)) == [("n", 0, None), ("s", 0, None)]
+    assert rows(missing_profile(df)) == [("s", 0, None), ("n", 0, None)]
     assert rows(numeric_profile(df)) == [("n", None, None, 0, 0)]
     assert rows(character_profile(df)) == [("s", 0)]
     assert exact_duplicates(df).first()[0] == 0
     assert rows(dataset_overview(df, "s")) == [(0, 2, 0)]
 
 
+def test_types_are_guessed_from_all_values(spark):
+    df = spark.createDataFrame(
+        [("1", "T", "2026-04-01", "x", None, "1", "TRUE"), ("2.5e3", "false", "2026-02-30", "1", None, None, "1")],
+        "n string, b string, d string, s string, e string, m string, mixed string",
+    )
+    got = {r.column_name: r.data_type for r in guess_types(df).collect()}
+    assert got == {
+        "n": "numeric", "b": "logical", "d": "character", "s": "character", "e": "logical", "m": "numeric",
+        "mixed": "character",
+    }
+    schema = guess_schema(df)
+    assert schema.names == df.columns and schema["n"].dataType.simpleString() == "double"
+
+
 def test_long_texts_are_told_apart(spark):
     base = "x" * 70
     texts = [base, base, base + "y", "#" + "a" * 64, None, "", "x" * 64]
