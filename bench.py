@@ -1,6 +1,7 @@
 """Times the headline queries and prints one JSON line.
 
 BENCH_SF_DIR (default /root/testdata/sf0.1) and BENCH_CPUS (default 8) choose data and cores.
+BENCH_SCALING=1 also times all queries warm on the sibling folders with other scale factors.
 Each query is planned and run to a sink that discards rows: once cold, then twice warm. The
 per-query figure is the better warm run; ``cold`` holds the first ones.
 """
@@ -54,6 +55,10 @@ HEADLINE = [
 ]
 
 
+def scale_factor(folder: str) -> float:
+    return float(os.path.basename(folder.rstrip("/")).removeprefix("sf"))
+
+
 def main() -> None:
     sf_dir = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
     cpus = os.environ.get("BENCH_CPUS", "8")
@@ -70,9 +75,9 @@ def main() -> None:
     )
     spark.sparkContext.setLogLevel("ERROR")
 
-    def once(name: str) -> float:
+    def once(name: str, folder: str = sf_dir) -> float:
         start = time.perf_counter()
-        REGISTRY[name].run(spark, sf_dir).write.format("noop").mode("overwrite").save()
+        REGISTRY[name].run(spark, folder).write.format("noop").mode("overwrite").save()
         return round(time.perf_counter() - start, 3)
 
     cold = {name: once(name) for name in HEADLINE}
@@ -84,9 +89,16 @@ def main() -> None:
         "queries": warm,
         "cold": cold,
         "cold_total": round(sum(cold.values()), 3),
-        "sf": os.path.basename(sf_dir.rstrip("/")).removeprefix("sf"),
+        "sf": scale_factor(sf_dir),
         "cpus": int(cpus),
     }
+    if os.environ.get("BENCH_SCALING"):
+        parent = os.path.dirname(sf_dir.rstrip("/"))
+        folders = [os.path.join(parent, d) for d in os.listdir(parent) if d.startswith("sf")]
+        report["scaling"] = {
+            scale_factor(d): round(sum(min(once(n, d), once(n, d)) for n in HEADLINE), 3)
+            for d in sorted(folders, key=scale_factor)
+        }
     spark.stop()
     print(json.dumps(report))
 

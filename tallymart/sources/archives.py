@@ -31,7 +31,10 @@ def unpack_archives(spark: SparkSession, paths: Paths, target: str, member: str
     """
     hidden = base_name("file_name").startswith(".")
     chosen = _members(spark, paths, pattern).filter(F.col("file_name").rlike(member) & ~hidden)
-    tasks = max(spark.sparkContext.defaultParallelism, int(spark.conf.get("spark.sql.shuffle.partitions")))
+    members = chosen.count()  # reads the archives' directories only
+    if not members:
+        raise ValueError(f"no member like {member} in {pattern} under {paths}")
+    tasks = min(members, max(spark.sparkContext.defaultParallelism, int(spark.conf.get("spark.sql.shuffle.partitions"))))
     done = chosen.repartition(tasks, "path", "file_name").mapInPandas(
         _tasks.unpack_rows(f"{target}/members"), "source_zip string, file_name string, file_size bigint"
     )
