@@ -20,7 +20,12 @@ Paths = str | Sequence[str]
 
 # How the CSV files are written.
 CSV_DIALECT = {"header": True, "nullValue": "NA", "quote": '"', "escape": '"', "encoding": "UTF-8"}
-CSV_READ = {**CSV_DIALECT, "ignoreLeadingWhiteSpace": True, "ignoreTrailingWhiteSpace": True}
+CSV_READ = {
+    **CSV_DIALECT,
+    "emptyValue": "NA",  # a quoted blank cell is missing too
+    "ignoreLeadingWhiteSpace": True,
+    "ignoreTrailingWhiteSpace": True,
+}
 
 # Signs with a meaning in the paths Spark is given.
 GLOB_SIGNS = re.compile(r"[\[\]{}*?\\]")
@@ -38,7 +43,7 @@ def list_sources(spark: SparkSession, paths: Paths, pattern: str = "*.csv", recu
     except AnalysisException as error:
         if error.getCondition() != "PATH_NOT_FOUND":
             raise
-        found = spark.createDataFrame([], "path string")
+        found = spark.range(0).select(F.lit("").alias("path"))
     return found.select("path", base_name("path").alias("file"))
 
 
@@ -82,6 +87,7 @@ def read_csv(
     lineage: str | None = "source_file",
     multiline: bool = False,
     where: Mapping[str, str] | None = None,
+    on_bad_cell: str = "fail",
 ) -> DataFrame:
     """Read header CSVs by column **name**, whatever the column order of each file.
 
@@ -91,7 +97,11 @@ def read_csv(
     ``clean`` matches the schema against cleaned names. Without a schema everything is text.
     Blank cells and ``NA`` are null, and text is trimmed. ``where`` keeps rows whose text columns
     equal the given values; the scan then skips the other rows before converting their cells.
+    A row of another width than its header, or a cell that is not of its declared type, stops the
+    job, as a count that silently turned missing would be left out of sums; with
+    ``on_bad_cell="null"`` such cells are null.
     """
+    mode = {"fail": "FAILFAST", "null": "PERMISSIVE"}[on_bad_cell]
     headers = _headers(spark, paths, pattern, recursive)
     headers = headers.filter(F.size("header") > 0).withColumn("digest", F.sha2(F.to_json("header"), 256))
     layouts = headers.select("digest", "header").distinct().limit(MAX_LAYOUTS + 1).collect()
@@ -111,7 +121,7 @@ def read_csv(
         names = unique_clean_names(layout) if clean else _unique(layout)
         declared = {f.name: f.dataType for f in schema.fields} if schema else {}
         scan_schema = T.StructType([T.StructField(n, declared.get(n, T.StringType())) for n in names])
-        reader = spark.read.schema(scan_schema).options(**CSV_READ, multiLine=multiline)
+        reader = spark.read.schema(scan_schema).options(**CSV_READ, mode=mode, multiLine=multiline)
         if len(layouts) == 1:
             reader = reader.option("pathGlobFilter", pattern).option("recursiveFileLookup", recursive)
             raw = reader.csv(paths if isinstance(paths, str) else list(paths))

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -44,9 +45,23 @@ def load_table(spark: SparkSession, path: str, schema: T.StructType | None = Non
     return out.select(*schema.names) if schema is not None else out
 
 
+# Arrow types of the columns a literal table may have.
+ARROW_TYPES = {
+    "string": pa.string(),
+    "bigint": pa.int64(),
+    "int": pa.int32(),
+    "double": pa.float64(),
+    "boolean": pa.bool_(),
+    "date": pa.date32(),
+}
+
+
 def literal_table(spark: SparkSession, rows: Sequence[tuple], schema: str) -> DataFrame:
-    """A small inline table."""
-    return spark.createDataFrame(list(rows), schema)
+    """A small inline table, of which Spark knows the size."""
+    fields = T.StructType.fromDDL(schema).fields
+    columns = list(zip(*rows)) if rows else [()] * len(fields)
+    arrays = [pa.array(list(c), ARROW_TYPES[f.dataType.simpleString()]) for c, f in zip(columns, fields)]
+    return spark.createDataFrame(pa.Table.from_arrays(arrays, names=[f.name for f in fields]), schema)
 
 
 def export_check(spark: SparkSession, names: Sequence[str], folder: str) -> DataFrame:

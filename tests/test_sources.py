@@ -65,12 +65,23 @@ def test_awkward_file_names(spark, tmp_path):
 
 
 def test_missing_cells(spark, tmp_path):
-    write(tmp_path / "a.csv", 'code,name,n\n,NA,NA\n"","  ",\n x ," y y ", 7 \n"NA","a,""b""",3\n')
+    write(tmp_path / "a.csv", 'code,name,n\n,NA,NA\n"","  ",""\n x ," y y ", 7 \n"NA","a,""b""",3\n')
     got = read_csv(spark, str(tmp_path), SCHEMA, lineage=None)
     assert as_set(got) == {(None, None, None), ("x", "y y", 7), (None, 'a,"b"', 3)}
     assert got.count() == 4
 
 
+@pytest.mark.parametrize("line", ['A,one,"1,234"', "A,one,12.5", "A,one,-", "A,one"])
+def test_a_bad_cell_is_not_silently_missing(spark, tmp_path, line):
+    write(tmp_path / "a.csv", f"code,name,n\nB,two,2\n{line}\n")
+    with pytest.raises(Exception, match="[Mm]alformed"):
+        read_csv(spark, str(tmp_path), SCHEMA).collect()
+    assert as_set(read_csv(spark, str(tmp_path), SCHEMA, lineage=None, on_bad_cell="null")) == {
+        ("A", "one", None),
+        ("B", "two", 2),
+    }
+
+
 def test_rows_can_be_chosen_in_the_scan(spark, tmp_path):
     write(tmp_path / "a.csv", 'code,n\n A ,1\nAB,2\n" A",3\nB,4\n,5\n')
     write(tmp_path / "b.csv", "n\n6\n")
