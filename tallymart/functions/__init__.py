@@ -6,6 +6,7 @@ from .names import (
     columns_except,
     columns_matching,
     columns_of_type,
+    likely_fields,
     unique_clean_names,
 )
 from .rowwise import band_thresholds, row_sum, safe_ratio, with_measures
@@ -21,6 +22,7 @@ __all__ = [
     "columns_except",
     "columns_matching",
     "columns_of_type",
+    "likely_fields",
     "missing_text",
     "month_spine",
     "month_start",

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import re
 import unicodedata
-from collections.abc import Iterable, Sequence
+from collections.abc import Iterable, Mapping, Sequence
 
 from pyspark.sql import DataFrame
 from pyspark.sql import types as T
@@ -63,6 +63,11 @@ def columns_matching(df_or_names: DataFrame | Sequence[str], pattern: str, *, ig
     return [n for n in names if regex.search(n)]
 
 
+def likely_fields(df_or_names: DataFrame | Sequence[str], patterns: Mapping[str, str]) -> dict[str, list[str]]:
+    """Columns that look like each kind of field, by name, whatever the letter case."""
+    return {kind: columns_matching(df_or_names, pattern) for kind, pattern in patterns.items()}
+
+
 def columns_except(df: DataFrame, *excluded: str) -> list[str]:
     """All names but ``excluded``, in order."""
     return [n for n in df.columns if n not in excluded]

@@ -13,9 +13,15 @@ from tallymart.operators import profile_report
 from tallymart.operators.profile import COMPILED_COLUMNS, write_report
 from tallymart.plans import contracts as C
 from tallymart.plans import emergency, model, waiting
-from tallymart.sources import export_check, new_stage, read_headers, save_table, write_csv
-from tallymart.sources.archives import unpack_archives
-from tallymart.sources.files import read_csv
+from tallymart.sources import (
+    export_check,
+    new_stage,
+    read_csv,
+    read_headers,
+    save_table,
+    unpack_archives,
+    write_csv,
+)
 
 SORT_KEYS = {
     "fact_ae": ["report_month", "provider_code"],
@@ -27,15 +33,24 @@ SORT_KEYS = {
 }
 
 
-def build_model(spark: SparkSession, raw_emergency: str, raw_archives: str, out: str) -> dict[str, DataFrame]:
+def stage_waiting(spark: SparkSession, raw_archives: str) -> tuple[DataFrame, DataFrame]:
+    """Waiting-list rows as stored Parquet, and the headers of their files.
+
+    The wide text is unpacked and parsed once, for the model and the profiles alike.
+    """
+    stage = new_stage(spark, "waiting")
+    folder = unpack_archives(spark, raw_archives, f"{stage}/unzip")
+    rows = read_csv(spark, folder, C.WAITING_SCHEMA, clean=True, keep_extra=True)
+    return save_table(rows, f"{stage}/rows"), read_headers(spark, folder)
+
+
+def build_model(raw_emergency: DataFrame, raw_waiting: DataFrame, out: str) -> dict[str, DataFrame]:
     """Build the facts and dimensions as Parquet under ``out`` and return them."""
-    stage = new_stage(spark, "model")
-    raw = emergency.read_emergency(spark, raw_emergency)
-    rows = waiting.read_waiting(spark, raw_archives, f"{stage}/unzip", part=C.INCOMPLETE)
-    incomplete = waiting.incomplete_pathways(rows)
+    stage = new_stage(raw_waiting.sparkSession, "model")
+    incomplete = waiting.incomplete_pathways(raw_waiting)
     totals = save_table(waiting.function_totals(incomplete), f"{stage}/function_totals")
     tables = {
-        "fact_ae": emergency.emergency_fact(raw),
+        "fact_ae": emergency.emergency_fact(raw_emergency),
         "fact_rtt_provider": waiting.provider_fact(totals),
         "fact_rtt_specialty": waiting.specialty_fact(totals),
     }
@@ -59,27 +74,19 @@ def write_validation(spark: SparkSession, tables: dict[str, DataFrame], out: str
     return write_report(reports, f"{out}/validation")
 
 
-def write_profile(
-    spark: SparkSession, raw_archives: str, out: str, per_scan: int | None = COMPILED_COLUMNS
-) -> list[str]:
-    """The seven profile tables of the waiting-list files.
-
-    Text is parsed once into staged Parquet; each profile then reads only what it needs, in narrow
-    scans unless ``per_scan`` is None.
-    """
-    stage = new_stage(spark, "profile")
-    folder = unpack_archives(spark, raw_archives, f"{stage}/unzip")
-    rows = save_table(read_csv(spark, folder, C.WAITING_SCHEMA, clean=True, keep_extra=True), f"{stage}/rows")
-    return write_report(profile_report(rows, read_headers(spark, folder), per_scan=per_scan), f"{out}/data_quality", "rtt_")
+def write_profile(rows: DataFrame, headers: DataFrame, out: str, per_scan: int | None = COMPILED_COLUMNS) -> list[str]:
+    """The seven profile tables of the stored waiting-list rows, in narrow scans unless ``per_scan`` is None."""
+    return write_report(profile_report(rows, headers, per_scan=per_scan), f"{out}/data_quality", "rtt_")
 
 
 def main(argv: list[str]) -> None:
     raw_emergency, raw_archives, out = argv
     spark = SparkSession.builder.appName("tallymart").getOrCreate()
-    tables = build_model(spark, raw_emergency, raw_archives, out)
+    rows, headers = stage_waiting(spark, raw_archives)
+    tables = build_model(emergency.read_emergency(spark, raw_emergency), rows, out)
     export_model(tables, out)
     write_validation(spark, tables, out)
-    write_profile(spark, raw_archives, out)
+    write_profile(rows, headers, out)
 
 
 if __name__ == "__main__":

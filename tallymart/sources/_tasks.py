@@ -75,7 +75,7 @@ def header_rows(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
             filesystem, local = open_filesystem(path)
             with filesystem.open_input_stream(local) as raw:
                 text = io.TextIOWrapper(raw, encoding="utf-8-sig", newline="")
-                headers.append([cell.strip() for cell in next(csv.reader(text), [])])
+                headers.append(next(csv.reader(text), []))
         yield pd.DataFrame({"path": batch["path"], "header": headers})
 
 

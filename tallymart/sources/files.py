@@ -55,9 +55,8 @@ def _headers(spark: SparkSession, paths: Paths, pattern: str, recursive: bool) -
 def read_headers(spark: SparkSession, paths: Paths, pattern: str = "*.csv", recursive: bool = True) -> DataFrame:
     """(path, file, position, column_name) of every column of every file; reads first lines only."""
     headers = _headers(spark, paths, pattern, recursive)
-    return headers.select("path", base_name("path").alias("file"), F.posexplode("header")).toDF(
-        "path", "file", "position", "column_name"
-    )
+    cells = headers.select("path", base_name("path").alias("file"), F.posexplode("header"))
+    return cells.select("path", "file", F.col("pos").alias("position"), F.trim("col").alias("column_name"))
 
 
 def column_counts(headers: DataFrame, file: str = "file") -> DataFrame:
@@ -118,10 +117,16 @@ def read_csv(
 
     scans = []
     for digest, layout in sorted(layouts):
-        names = unique_clean_names(layout) if clean else _unique(layout)
+        headings = _unique(layout)
+        names = unique_clean_names(layout) if clean else headings
         declared = {f.name: f.dataType for f in schema.fields} if schema else {}
-        scan_schema = T.StructType([T.StructField(n, declared.get(n, T.StringType())) for n in names])
+        types = {n: declared.get(n, T.StringType()) for n in names}
+        source = dict(zip(names, headings))
+        scan_schema = T.StructType([T.StructField(source[n], types[n]) for n in names])
+        # Where Spark can compare headings, each file is checked once more when it is read.
+        checked = headings == list(layout) and "NA" not in headings
         reader = spark.read.schema(scan_schema).options(**CSV_READ, mode=mode, multiLine=multiline)
+        reader = reader.option("enforceSchema", not checked)
         if len(layouts) == 1:
             reader = reader.option("pathGlobFilter", pattern).option("recursiveFileLookup", recursive)
             raw = reader.csv(paths if isinstance(paths, str) else list(paths))
@@ -129,7 +134,7 @@ def read_csv(
             raw = reader.csv([GLOB_SIGNS.sub(r"\\\g<0>", p) for p in members[digest]])
         for n, value in (where or {}).items():
             # The exact test comes after trimming; this weaker one can be pushed into the scan.
-            raw = raw.filter(quoted(n).contains(value) if n in names else F.lit(False))
+            raw = raw.filter(quoted(source[n]).contains(value) if n in names else F.lit(False))
         wanted = list(declared) if schema else list(names)
         if schema and keep_extra:
             wanted += [n for n in names if n not in declared]
@@ -137,10 +142,10 @@ def read_csv(
         for n in wanted:
             if n not in names:
                 columns.append(F.lit(None).cast(declared[n]).alias(n))
-            elif isinstance(scan_schema[n].dataType, T.StringType):
-                columns.append(missing_text(quoted(n)).alias(n))
+            elif isinstance(types[n], T.StringType):
+                columns.append(missing_text(quoted(source[n])).alias(n))
             else:
-                columns.append(quoted(n))
+                columns.append(quoted(source[n]).alias(n))
         if lineage:
             columns.append(plain_path("_metadata.file_name").alias(lineage))
         scans.append(raw.select(*columns))
@@ -151,10 +156,10 @@ def read_csv(
 
 
 def _unique(layout: Sequence[str]) -> list[str]:
-    """Header names as they are; blank or repeated ones get their position appended."""
+    """Header names, trimmed; blank or repeated ones get their position appended."""
     seen: set[str] = set()
     out = []
-    for position, name in enumerate(layout, start=1):
+    for position, name in enumerate(map(str.strip, layout), start=1):
         # Spark compares names without regard to case.
         if not name or name.lower() in seen:
             name = f"{name}...{position}"

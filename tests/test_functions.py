@@ -9,6 +9,7 @@ from tallymart.functions import (
     band_thresholds,
     clean_name,
     columns_matching,
+    likely_fields,
     missing_text,
     parse_month,
     row_sum,
@@ -47,6 +48,14 @@ def test_column_search():
     assert columns_matching(names, "period", ignore_case=False) == []
 
 
+def test_likely_fields():
+    found = likely_fields(C.WAITING_TEXT + C.WAITING_COUNTS, C.FIELD_PATTERNS)
+    assert found["period"] == ["period", "patients_with_unknown_clock_start_date"]
+    assert found["provider"][:2] == ["provider_parent_org_code", "provider_parent_name"]
+    assert found["specialty"] == ["treatment_function_code", "treatment_function_name"]
+    assert len(found["wait"]) == 105
+
+
 def test_band_lookup_finds_all_105_bands():
     bands = band_lookup(C.WAITING_TEXT + C.WAITING_COUNTS, C.BAND_PATTERN)
     assert list(bands.values()) == list(range(105))

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from tallymart.operators import match_tally, missing_keys
 from tallymart.plans import contracts as C
 from tallymart.plans import emergency, model, waiting
-from tallymart.plans.run import build_model, export_model, write_profile, write_validation
+from tallymart.plans.run import build_model, export_model, stage_waiting, write_profile, write_validation
 from published import ae_row, ae_total, waiting_csv, waiting_row, write_ae, write_zip
 
 APRIL, MAY, JUNE = (dt.date(2026, m, 1) for m in (4, 5, 6))
@@ -52,7 +52,8 @@ def raw(tmp_path_factory):
 @pytest.fixture(scope="module")
 def built(spark, raw, tmp_path_factory):
     out = str(tmp_path_factory.mktemp("out"))
-    return build_model(spark, str(raw / "ae"), str(raw / "rtt"), out), out
+    rows, _ = stage_waiting(spark, str(raw / "rtt"))
+    return build_model(emergency.read_emergency(spark, str(raw / "ae")), rows, out), out
 
 
 def test_emergency_fact(built):
@@ -143,7 +144,7 @@ def test_exports_and_reports(spark, raw, built, tmp_path):
     assert read_report(reports / "rtt_reconciliation_summary.csv") == [("4", "4", "0", "0")]
     assert len(read_report(reports / "rtt_provider_specialty_reconciliation.csv")) == 4
 
-    names = write_profile(spark, str(raw / "rtt"), str(tmp_path), per_scan=None)
+    names = write_profile(*stage_waiting(spark, str(raw / "rtt")), str(tmp_path), per_scan=None)
     assert len(names) == 7
     profiles = tmp_path / "data_quality"
     assert {c for _, c in read_report(profiles / "rtt_column_counts.csv")} == {"121"}
@@ -160,6 +161,13 @@ def test_exports_and_reports(spark, raw, built, tmp_path):
     assert len(numeric) == 108 and numeric["gt_00_to_01_weeks_sum_1"] == ("10", "20", "0", "0")
 
 
+def test_choosing_a_part_in_the_scan_changes_nothing(spark, raw, built):
+    rows = waiting.read_waiting(spark, str(raw / "rtt"), part=C.INCOMPLETE)
+    assert rows.count() == 12
+    totals = waiting.function_totals(waiting.incomplete_pathways(rows))
+    assert waiting.provider_fact(totals).exceptAll(built[0]["fact_rtt_provider"]).count() == 0
+
+
 def broken(tables, **changes):
     return {**tables, **changes}
 

@@ -16,6 +16,8 @@ from tallymart.operators import (
     entity_dim,
     exact_duplicates,
     foreign_key_check,
+    join_on,
+    missing_keys,
     rank_within,
     rows_and_distinct,
 )
@@ -85,6 +87,37 @@ def test_saved_month_with_most_rows_is_split(spark, tmp_path):
     assert back.agg(F.sum("id"), F.count("id")).first() == (300_000 * 299_999 // 2, 300_000)
 
 
+@pytest.fixture
+def small_partitions(no_broadcast):
+    """Adaptive execution as for large data, at the size of a test."""
+    limits = {
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "20k",
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "2",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "10k",
+    }
+    for name, value in limits.items():
+        no_broadcast.conf.set(name, value)
+    yield no_broadcast
+    for name in limits:
+        no_broadcast.conf.unset(name)
+
+
+@pytest.mark.parametrize("join", ["left", "anti"])
+def test_rows_of_a_hot_join_key_are_split_over_tasks(small_partitions, join):
+    hot = F.when(F.col("id") % 3 == 0, F.lit(-1)).otherwise(F.col("id"))
+    fact = small_partitions.range(0, 60_000, 1, 8).select("id", hot.alias("k"))
+    dim = small_partitions.range(0, 60_000, 1, 8).select((F.col("id") * 2).alias("k"), F.lit("x").alias("name"))
+    if join == "left":
+        out = join_on(fact, dim, "k")
+        want = 60_000
+    else:
+        out = missing_keys(fact, dim, "k")
+        want = 20_000 + sum(1 for i in range(60_000) if i % 3 and i % 2)
+    out.write.format("noop").mode("overwrite").save()
+    assert len(out.collect()) == want
+    assert "SortMergeJoin(skew=true)" in plan(out)
+
+
 # One key holds a third of the rows.
 
 N = 30_000

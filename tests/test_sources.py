@@ -98,6 +98,20 @@ def test_clean_headers_and_repeats(spark, tmp_path):
     assert read_csv(spark, str(tmp_path), lineage=None).columns == ["Total", "total...2", "Total All"]
 
 
+def test_padded_and_odd_headers(spark, tmp_path):
+    write(tmp_path / "a.csv", '" code ", n ,NA,,\n" A ",1,x,y,z\n')
+    assert as_set(read_csv(spark, str(tmp_path), SCHEMA, lineage=None)) == {("A", None, 1)}
+    assert read_csv(spark, str(tmp_path), lineage=None).columns == ["code", "n", "NA", "...4", "...5"]
+
+
+def test_a_file_that_arrives_with_another_layout_is_noticed(spark, tmp_path):
+    write(tmp_path / "a.csv", "code,n\nA,1\n")
+    planned = read_csv(spark, str(tmp_path / "*.csv"), SCHEMA)
+    write(tmp_path / "a.csv", "n,code\n1,A\n")
+    with pytest.raises(Exception, match="header"):
+        planned.collect()
+
+
 def test_no_file_is_an_error(spark, tmp_path):
     with pytest.raises(ValueError):
         read_csv(spark, str(tmp_path), SCHEMA)
