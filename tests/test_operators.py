@@ -197,18 +197,22 @@ def test_profiles_of_an_empty_table_keep_their_columns(spark):
     assert rows(numeric_profile(df)) == [("n", None, None, 0, 0)]
     assert rows(character_profile(df)) == [("s", 0)]
     assert exact_duplicates(df).first()[0] == 0
+    assert rows(numeric_profile(df.select("s"))) == [] and rows(character_profile(df.select("n"))) == []
     assert rows(dataset_overview(df, "s")) == [(0, 2, 0)]
 
 
 def test_types_are_guessed_from_all_values(spark):
     df = spark.createDataFrame(
-        [("1", "T", "2026-04-01", "x", None, "1", "TRUE"), ("2.5e3", "false", "2026-02-30", "1", None, None, "1")],
-        "n string, b string, d string, s string, e string, m string, mixed string",
+        [
+            ("1", "T", "2026-04-01", "x", None, "1", "TRUE", "007", "2026-04-01"),
+            ("-2.5e3", "false", "2026-02-30", "1", None, None, "1", "1", "2024-02-29"),
+        ],
+        "n string, b string, d string, s string, e string, m string, mixed string, code string, day string",
     )
     got = {r.column_name: r.data_type for r in guess_types(df).collect()}
     assert got == {
         "n": "numeric", "b": "logical", "d": "character", "s": "character", "e": "logical", "m": "numeric",
-        "mixed": "character",
+        "mixed": "character", "code": "character", "day": "Date",
     }
     schema = guess_schema(df)
     assert schema.names == df.columns and schema["n"].dataType.simpleString() == "double"

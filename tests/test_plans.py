@@ -144,7 +144,7 @@ def test_exports_and_reports(spark, raw, built, tmp_path):
     assert read_report(reports / "rtt_reconciliation_summary.csv") == [("4", "4", "0", "0")]
     assert len(read_report(reports / "rtt_provider_specialty_reconciliation.csv")) == 4
 
-    names = write_profile(*stage_waiting(spark, str(raw / "rtt")), str(tmp_path), per_scan=None)
+    names = write_profile(*stage_waiting(spark, str(raw / "rtt")), str(tmp_path))
     assert len(names) == 7
     profiles = tmp_path / "data_quality"
     assert {c for _, c in read_report(profiles / "rtt_column_counts.csv")} == {"121"}
