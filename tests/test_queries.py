@@ -1,13 +1,20 @@
 """Every registered query against its SQL, and the inventory covered by them."""
 
+import os
 import re
 
 import pytest
 from oracle import compare, connect
+from pyspark.sql import functions as F
 
 import __spark_entry__ as entry_module
 from conftest import TESTDATA
 from sfqueries import REGISTRY
+from sfqueries.base import waits, with_backlog
+from tallymart.operators import build_fact
+from tallymart.plans.contracts import WAITING_MEASURES
+
+SF001 = "/root/testdata/sf0.01"
 
 
 @pytest.fixture(scope="module")
@@ -42,3 +49,18 @@ def test_every_inventory_id_has_a_query():
     covered = {i for q in REGISTRY.values() for i in q.covers}
     assert wanted - covered == set()
     assert all(re.fullmatch(r"(UD|[SPFJAROUXKMVD])\d+", i) for i in covered)
+
+
+@pytest.mark.skipif(not os.path.isdir(SF001), reason="needs the sf0.01 tables")
+def test_known_band_counts(spark):
+    """Order lines by waiting band at sf0.01, found once with two engines."""
+    rows = with_backlog(waits(spark, SF001).withColumn("pathways", F.lit(1).cast("bigint")))
+    fact = build_fact(rows, ["report_month", "provider_org_code"], WAITING_MEASURES)
+    totals = build_fact(fact, [], WAITING_MEASURES).first()
+    assert fact.count() == 7899
+    assert (totals.within_18_weeks, totals.over_18_weeks, totals.over_52_weeks, totals.over_104_weeks) == (
+        5849,
+        54151,
+        43540,
+        29719,
+    )

@@ -1,6 +1,8 @@
 """Files with drifting layouts, awkward cells and archives of several members."""
 
 import datetime as dt
+import io
+from types import SimpleNamespace
 
 import pytest
 from pyspark.sql import types as T
@@ -21,6 +23,7 @@ from tallymart.sources import (
     write_csv,
     zip_catalogue,
 )
+from tallymart.sources import _tasks
 from tallymart.sources.staging import shared_root
 from published import write_zip
 
@@ -213,6 +216,33 @@ def test_a_member_spark_would_skip_is_an_error(spark, tmp_path):
         read_zip_csv(spark, str(tmp_path), SCHEMA)
 
 
+def test_a_repeated_or_broken_copy_leaves_one_whole_file(tmp_path):
+    filesystem, root = _tasks.open_filesystem(f"file:{tmp_path}")
+
+    class Broken(io.BytesIO):
+        def read(self, size=-1):
+            if self.tell():
+                raise OSError("connection lost")
+            return super().read(3)
+
+    target = f"{root}/deep/a.csv"
+    with pytest.raises(OSError):
+        _tasks.copy_whole(Broken(b"code,n"), filesystem, target)
+    assert [p.name[0] for p in (tmp_path / "deep").iterdir()] == ["."]  # hidden from Spark's readers
+    for _ in range(2):
+        assert _tasks.copy_whole(io.BytesIO(b"code,n\n"), filesystem, target) == 7
+    assert (tmp_path / "deep" / "a.csv").read_text() == "code,n\n"
+
+
+def test_a_cluster_without_a_shared_folder_is_an_error():
+    conf = SimpleNamespace(get=lambda name, default: default)
+    context = SimpleNamespace(master="spark://host:7077", getCheckpointDir=lambda: None)
+    with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
+        shared_root(SimpleNamespace(conf=conf, sparkContext=context))
+    context.master = "local[8]"
+    assert shared_root(SimpleNamespace(conf=conf, sparkContext=context))
+
+
 def test_stage_is_the_configured_folder(spark):
     assert new_stage(spark, "x").startswith(spark.conf.get("spark.checkpoint.dir"))
     assert shared_root(spark) == spark.conf.get("spark.checkpoint.dir")
