@@ -8,7 +8,8 @@ from pyspark.sql import functions as F
 from ._columns import as_col
 from .text import strip_prefix
 
-# Accepted spellings of "month year" once separators are blanks.
+# Two-digit years by century, and spellings of "month year" once separators are blanks.
+TWO_DIGIT_YEARS = {r"[0-5]\d|6[0-8]": "20", r"69|[7-9]\d": "19"}
 LONG_MONTH, SHORT_MONTH, MONTH_NUMBER = "MMMM yyyy", "MMM yyyy", "M yyyy"
 
 
@@ -18,9 +19,14 @@ def month_start(col) -> Column:
 
 
 def parse_month(col, prefix: str = "") -> Column:
-    """``<prefix>August-2026`` (any letter case, long or short month) -> 2026-08-01, else null."""
+    """``<prefix>August-2026`` -> 2026-08-01, else null.
+
+    Any letter case and separator, long, short or numeric months, four- or two-digit years.
+    """
     text = strip_prefix(col, prefix) if prefix else as_col(col)
-    text = F.trim(F.regexp_replace(text, r"[\s\-_/.,]+", " "))
+    text = F.trim(F.regexp_replace(text, r"[\s\-_/.,]+|(?<=[A-Za-z])(?=\d)", " "))
+    for years, century in TWO_DIGIT_YEARS.items():
+        text = F.regexp_replace(text, f" ({years})$", f" {century}$1")
     # One attempt per value, chosen by its shape: a failed attempt costs far more than a test.
     named = F.when(F.locate(" ", text) > 4, F.try_to_date(text, LONG_MONTH)).otherwise(F.try_to_date(text, SHORT_MONTH))
     return month_start(F.when(text.rlike(r"^\d"), F.try_to_date(text, MONTH_NUMBER)).otherwise(named))

@@ -37,12 +37,19 @@ def join_on(left: DataFrame, right: DataFrame, on: Keys, how: str = "left", null
 
 
 def missing_keys(
-    fact: DataFrame, dim: DataFrame, on: Keys, right_on: Keys | None = None, null_safe: bool = True
+    fact: DataFrame,
+    dim: DataFrame,
+    on: Keys,
+    right_on: Keys | None = None,
+    null_safe: bool = True,
+    unique: bool = True,
 ) -> DataFrame:
     """Rows of ``fact`` whose key is absent from ``dim``; the keys may be named differently.
 
-    ``dim`` is expected to hold each key once; reduce a table that repeats keys with ``distinct_on``.
+    A dimension holds each key once. For a table that repeats keys pass ``unique=False``: its keys
+    are then made distinct first, so that a hot one does not meet the join as often as it occurs.
     """
     left_on, dim_on = as_list(on), as_list(right_on or on)
-    right, hidden = _with_hidden_keys(dim.select(*[quoted(k) for k in dim_on]), dim_on)
+    keys = dim.select(*[quoted(k) for k in dim_on])
+    right, hidden = _with_hidden_keys(keys if unique else keys.distinct(), dim_on)
     return fact.join(right, _condition(left_on, hidden, null_safe), "left_anti")

@@ -37,14 +37,22 @@ def unique_key_check(check: str, df: DataFrame, keys: Keys) -> DataFrame:
 
 
 def foreign_key_check(
-    check: str, fact: DataFrame, dim: DataFrame, on: Keys, right_on: Keys | None = None, null_safe: bool = True
+    check: str,
+    fact: DataFrame,
+    dim: DataFrame,
+    on: Keys,
+    right_on: Keys | None = None,
+    null_safe: bool = True,
+    unique: bool = True,
 ) -> DataFrame:
     """(check, issue_count): fact rows whose key is absent from the dimension.
 
     The fact is reduced to its distinct keys and their row counts before it meets the dimension, so
-    the join input is as small as the key set however often a key occurs.
+    the join input is as small as the key set however often a key occurs. ``unique`` as in
+    ``missing_keys``.
     """
-    return issue_count(check, missing_keys(count_by(fact, on, "__n"), dim, on, right_on, null_safe), "__n")
+    absent = missing_keys(count_by(fact, on, "__n"), dim, on, right_on, null_safe, unique)
+    return issue_count(check, absent, "__n")
 
 
 def range_check(df: DataFrame, rules: Mapping[str, Column]) -> DataFrame:

@@ -11,6 +11,7 @@ from ..operators import (
     attribute_dim,
     conflicting_attributes,
     date_dim,
+    distinct_on,
     entity_dim,
     foreign_key_check,
     grain_reconciliation,
@@ -140,7 +141,7 @@ def extended_checks(t: Tables) -> DataFrame:
         issue_count("RTT provider months without specialties", diffs.filter("total_waiting_difference IS NULL")),
         issue_count(
             "RTT specialty months without providers",
-            missing_keys(specialty.select(*keys).distinct(), provider, keys),
+            missing_keys(distinct_on(specialty, keys), provider, keys),
         ),
     ]
     return qa_summary(checks)

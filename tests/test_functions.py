@@ -62,11 +62,11 @@ def test_band_lookup_finds_all_105_bands():
 
 
 def test_parse_month(spark):
-    texts = ["RTT-AUGUST-2026", "RTT-August-2026", "Aug-2026", "rtt-August-2026", "RTT-zz", None, "TOTAL", "RTT-May 2026", "08/2026", "RTT-", "", "13 2026", "aug_2026"]
+    texts = ["RTT-AUGUST-2026", "RTT-August-2026", "Aug-2026", "rtt-August-2026", "RTT-zz", None, "TOTAL", "RTT-May 2026", "08/2026", "RTT-", "", "13 2026", "aug_2026", "Aug-26", "AUG2026", "8/26", "May-69", "June-68", "May-1969"]
     rows = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "i int, t string")
     got = [r[0] for r in rows.orderBy("i").select(parse_month("t", "RTT-")).collect()]
     august = datetime.date(2026, 8, 1)
-    assert got == [august, august, august, None, None, None, None, datetime.date(2026, 5, 1), august, None, None, None, august]
+    assert got == [august, august, august, None, None, None, None, datetime.date(2026, 5, 1), august, None, None, None, august, august, august, august, datetime.date(1969, 5, 1), datetime.date(2068, 6, 1), datetime.date(1969, 5, 1)]
 
 
 def test_missing_text_and_prefix(spark):

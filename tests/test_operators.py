@@ -100,6 +100,9 @@ def test_foreign_keys(spark):
     assert foreign_key_check("fk", fact, dim, "code", "k", null_safe=False).first() == ("fk", 2)
     assert foreign_key_check("fk", fact, dim.filter("k = 'A'"), "code", "k").first() == ("fk", 2)
     assert foreign_key_check("fk", fact.filter("code = 'A'"), dim, "code", "k").first() == ("fk", 0)
+    twice = dim.union(dim)
+    assert rows(missing_keys(fact, twice, "code", "k", unique=False)) == [("Z",)]
+    assert rows(missing_keys(fact, twice, "code", "k")) == [("Z",)]
     same = dim.withColumnRenamed("k", "code")
     assert rows(missing_keys(fact, same, "code")) == [("Z",)]
 
