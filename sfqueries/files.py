@@ -108,9 +108,10 @@ def guess_types_(spark, sf_dir):
 
 
 def _headers_by_year(spark, sf_dir):
+    """Headers with the folder in place of the file, as how many files a folder holds is up to Spark."""
     headers = read_headers(spark, write_drifted(spark, sf_dir, "headers"))
     folder = F.element_at(F.split("path", "/"), -2)
-    return headers.select(folder.alias("file"), "column_name", "position").distinct()
+    return headers.select(folder.alias("path"), folder.alias("file"), "column_name", "position").distinct()
 
 
 _HEADERS_SQL = """headers AS (

@@ -36,9 +36,9 @@ TYPE_LABELS = {
 COMPILED_COLUMNS = 16
 
 
-def schema_presence(headers: DataFrame, file: str = "file") -> DataFrame:
+def schema_presence(headers: DataFrame) -> DataFrame:
     """(column_name, files_present), rarest first, from the rows of ``read_headers``."""
-    pairs = headers.select(file, "column_name").distinct()
+    pairs = headers.select("path", "column_name").distinct()
     return order(count_by(pairs, "column_name", "files_present"), "files_present", "column_name")
 
 

@@ -59,9 +59,9 @@ def read_headers(spark: SparkSession, paths: Paths, pattern: str = "*.csv", recu
     return cells.select("path", "file", F.col("pos").alias("position"), F.trim("col").alias("column_name"))
 
 
-def column_counts(headers: DataFrame, file: str = "file") -> DataFrame:
-    """(file, column_count): how wide each file is."""
-    return headers.groupBy(file).agg(F.count(F.lit(1)).alias("column_count"))
+def column_counts(headers: DataFrame) -> DataFrame:
+    """(file, column_count): how wide each file is; files of the same name in two folders are two rows."""
+    return headers.groupBy("path", "file").agg(F.count(F.lit(1)).alias("column_count")).drop("path")
 
 
 def with_lineage(df: DataFrame, name: str = "source_file") -> DataFrame:

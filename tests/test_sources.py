@@ -125,6 +125,10 @@ def test_headers_and_schema_check(spark, tmp_path):
     write(tmp_path / "b.csv", "Name,Extra,Other\n" + "1,2,3\n" * 5)
     headers = read_headers(spark, str(tmp_path))
     assert as_set(column_counts(headers)) == {("a.csv", 2), ("b.csv", 3)}
+    write(tmp_path / "again" / "a.csv", "Name\n1\n")
+    both = read_headers(spark, str(tmp_path))
+    assert as_set(column_counts(both)) == {("a.csv", 2), ("b.csv", 3), ("a.csv", 1)}
+    assert as_set(schema_presence(both).filter("files_present > 1")) == {("Name", 3)}
     assert [tuple(r) for r in schema_presence(headers).collect()] == [
         ("Extra", 1),
         ("Org, Code", 1),
