@@ -29,8 +29,9 @@ def test_query_equals_its_sql(spark, con, name):
 
 
 def test_contract():
-    assert set(entry_module.queries()) == set(REGISTRY)
-    assert set(entry_module.oracle_sql()) <= set(REGISTRY)
+    own = {n for n in entry_module.queries() if not re.match(r"op\d+_|pipeline$", n)}
+    assert own == set(REGISTRY)
+    assert set(entry_module.oracle_sql()) <= set(entry_module.queries())
 
 
 def test_entry(spark):
