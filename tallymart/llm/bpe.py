@@ -52,6 +52,7 @@ class Vocabulary:
         import ahocorasick
         import regex
 
+        self.source, self.library = source, None
         spec = json.loads(source)
         model, norms = spec["model"], [x["type"] for x in spec["normalizer"]["normalizers"]]
         if model["type"] != "BPE" or norms != NORMALIZERS or not model["end_of_word_suffix"]:
@@ -168,12 +169,24 @@ class Vocabulary:
         return " ".join([self.tokens[i] for i in ids])
 
     def words(self, text: str) -> list[str]:
+        if self.far(text) and any(unicodedata.category(c) == "Cn" for c in set(text)):
+            return self.newer_words(text)
         if not text.isascii():
             text = unicodedata.normalize("NFC", text)
             text = text.replace("Σ", "σ")  # lower case goes by single characters: no final sigma
         text = text.lower()
         return self.find_words(text) if self.far(text) else self.find_near_words(text)
 
+    def newer_words(self, text: str) -> list[str]:
+        """The words of a text with characters younger than this Python's Unicode tables: the classes and
+        lower case of these are the ones of the tokenizers library."""
+        from tokenizers import Tokenizer
+
+        if self.library is None:
+            self.library = Tokenizer.from_str(self.source)
+        text = self.library.normalizer.normalize_str(text)
+        return [text[a:b] for _, (a, b) in self.library.pre_tokenizer.pre_tokenize_str(text)]
+
     def encode(self, text: str) -> tuple[np.ndarray, str]:
         """Ids of a text and the text decoded from them. Added tokens are found in the raw text first."""
         found, at = [], 0
