@@ -96,7 +96,8 @@ def exact_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     rows = numbered.filter("real").drop("edge", "real").join(_homes(numbered), ["part", "run"], "left")
     rows = rows.withColumn("home", F.coalesce("home", own))
     best = F.max("id") if keep == "max" else F.min("id")
-    groups = rows.groupBy("home").agg(best.alias("keep_id"), F.count(F.lit(1)).alias("group_size"))
+    # Stored, so that the join can split a group that holds many of the rows.
+    groups = stored(rows.groupBy("home").agg(best.alias("keep_id"), F.count(F.lit(1)).alias("group_size")), "exact-groups")
     return rows.join(groups, "home").select(
         F.col("id").alias(id_col),
         "keep_id",
