@@ -6,14 +6,16 @@ its one member; one without words has an empty set and is linked with nothing. T
 if their sets' Jaccard similarity is ``percent`` / 100 or more.
 
 1. Documents with one set become one class, whose representative is the smallest id (a grouped minimum).
-2. Representatives that agree in a band of their signature are candidates: first each with the smallest
-   one of its band bucket only, so a bucket of n costs n pairs.
+2. Representatives that agree in a band of their signature are candidates. Every band bucket first pairs
+   its members with one of them, drawn by a hash, so a bucket of n costs n pairs.
 3. Candidates' signatures are compared a batch at a time. A pair is dropped as soon as the posterior
    probability that its similarity reaches the threshold, given the agreements so far, falls below
-   ``miss``. Survivors are checked on their full sets, so every link is exact.
-4. The links make components. Members of a bucket that are not yet in the component of the bucket's
-   smallest one are then compared with all members in other components, so no link between candidates
-   is lost, and a bucket of near copies never makes all its pairs.
+   ``miss``. Survivors are checked on their full sets, so every link is exact; a survivor whose ends
+   other links connect meanwhile needs no check.
+4. The links make components. In buckets that still hold more than one, every member outside the largest
+   component is compared with all members in other components, block against block: the exact sizes of
+   all shared sets of two blocks come from one product of matrices, and only links leave the task. So no
+   link between candidates is lost, and a bucket of near copies never makes all its pairs.
 
 With 24 bands of 4, a pair at similarity 0.8 shares no band with probability 3e-6.
 Repeated rows are copies. Rows with a null id are in classes, but never give them their name.
@@ -24,6 +26,7 @@ from __future__ import annotations
 import math
 import sys
 from collections.abc import Iterator
+from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
@@ -39,6 +42,8 @@ from .shared import broadcast_if_small, stored
 BANDS, ROWS, BATCHES, BATCH = 24, 4, 4, 32
 HASHES = BATCHES * BATCH
 SEED = 20240607
+BLOCK = 256  # sets of a block that is compared with another block
+COLUMNS = 1 << 14  # shared members counted in one step
 
 
 def shingle_sets(column: pa.Array, k: int, hasher: W.WordHasher) -> tuple[np.ndarray, np.ndarray]:
@@ -144,10 +149,13 @@ def least_agreements(threshold: float, miss: float) -> list[int]:
 
 
 def prune_rows(least: list[int]):
-    """A task over (a, b, sig_a, sig_b): the pairs that no batch of the signatures rules out."""
+    """A task over (a, b, sig_a, sig_b): the pairs that no batch of the signatures rules out, and how many
+    hashes agree."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
+            if not batch.num_rows:
+                continue
             alive = np.arange(batch.num_rows)
             left, right = (
                 np.frombuffer(b"".join(batch.column(c).to_pylist()), np.uint32).reshape(-1, HASHES) for c in (2, 3)
@@ -157,29 +165,142 @@ def prune_rows(least: list[int]):
                 part = slice(step * BATCH, (step + 1) * BATCH)
                 agreed = agreed + (left[alive, part] == right[alive, part]).sum(1)
                 alive, agreed = alive[agreed >= needed], agreed[agreed >= needed]
-            yield pa.RecordBatch.from_arrays([batch.column(c).take(pa.array(alive)) for c in (0, 1)], ["a", "b"])
+            kept = [batch.column(c).take(pa.array(alive)) for c in (0, 1)]
+            yield pa.RecordBatch.from_arrays([*kept, pa.array(agreed.astype(np.int32))], ["a", "b", "agreed"])
 
     return run
 
 
-def _links(pairs: DataFrame, classes: DataFrame, texts: DataFrame, k: int, percent: int, miss: float) -> DataFrame:
-    """The pairs (a, b) that are linked, stored."""
-    mine = classes.select(F.col("id").alias("a"), F.col("size").alias("size_a"), F.col("signature").alias("sig_a"))
-    other = classes.select(F.col("id").alias("b"), F.col("size").alias("size_b"), F.col("signature").alias("sig_b"))
-    sized = pairs.join(mine, "a").join(other, "b")
-    # The smaller set can hold no more than all of the shared members.
-    near = F.least("size_a", "size_b") * 100 >= F.greatest("size_a", "size_b") * percent
-    kept = sized.filter(near).select("a", "b", "sig_a", "sig_b")
-    survivors = stored(kept.mapInArrow(prune_rows(least_agreements(percent / 100, miss)), "a bigint, b bigint"), "survivors")
-    ids = survivors.select(F.col("a").alias("id")).union(survivors.select(F.col("b").alias("id"))).distinct()
-    wanted = broadcast_if_small(stored(ids, "survivor-ids"), 16)
-    sets = texts.join(wanted, "id", "left_semi").mapInArrow(set_rows(k), "id bigint, members array<bigint>")
-    whole = survivors.join(sets.select(F.col("id").alias("a"), F.col("members").alias("set_a")), "a").join(
-        sets.select(F.col("id").alias("b"), F.col("members").alias("set_b")), "b"
-    )
-    shared = F.size(F.array_intersect("set_a", "set_b"))
-    union = F.size("set_a") + F.size("set_b") - shared
-    return stored(whole.filter(shared * 100 >= union * percent).select("a", "b").distinct(), "links")
+@dataclass
+class Search:
+    """What the steps of one search share: the classes' signatures, the texts, and how to compare."""
+
+    classes: DataFrame
+    texts: DataFrame
+    words: int
+    percent: int
+    miss: float
+
+    def survivors(self, pairs: DataFrame) -> DataFrame:
+        """The pairs (a, b) that their sizes and signatures do not rule out, stored."""
+        mine = self.classes.select(F.col("id").alias("a"), F.col("size").alias("size_a"), F.col("signature").alias("sig_a"))
+        other = self.classes.select(F.col("id").alias("b"), F.col("size").alias("size_b"), F.col("signature").alias("sig_b"))
+        # The smaller set can hold no more than all of the shared members.
+        near = F.least("size_a", "size_b") * 100 >= F.greatest("size_a", "size_b") * self.percent
+        sized = pairs.join(mine, "a").join(other, "b").filter(near).select("a", "b", "sig_a", "sig_b")
+        least = least_agreements(self.percent / 100, self.miss)
+        return stored(sized.mapInArrow(prune_rows(least), "a bigint, b bigint, agreed int"), "survivors")
+
+    def sets(self, ids: DataFrame) -> DataFrame:
+        """(id, members): the whole sets of the texts with these ids, stored."""
+        wanted = broadcast_if_small(stored(ids, "wanted"), 16)
+        found = self.texts.join(wanted, "id", "left_semi").mapInArrow(set_rows(self.words), "id bigint, members array<bigint>")
+        # Rows of one id and one text give the same set.
+        return stored(found.distinct(), "sets")
+
+    def linked(self, pairs: DataFrame) -> DataFrame:
+        """The pairs (a, b) whose full sets are similar enough, stored."""
+        pairs = stored(pairs, "checked")
+        sets = self.sets(pairs.select(F.col("a").alias("id")).union(pairs.select(F.col("b").alias("id"))).distinct())
+        whole = pairs.join(sets.toDF("a", "set_a"), "a").join(sets.toDF("b", "set_b"), "b")
+        shared = F.size(F.array_intersect("set_a", "set_b"))
+        union = F.size("set_a") + F.size("set_b") - shared
+        return stored(whole.filter(shared * 100 >= union * self.percent).select("a", "b").distinct(), "links")
+
+    def connected(self, pairs: DataFrame, groups: DataFrame) -> DataFrame:
+        """``groups`` (node, component), joined further by the links among ``pairs``. The best pair of each
+        node is checked first; of the others, those that are still between two components."""
+        todo = self.survivors(pairs)
+        best = todo.groupBy("a").agg(F.max(F.struct("agreed", "b")).alias("best")).select("a", "best.b")
+        groups = self._joined(self.linked(best), groups)
+        first, second = groups.toDF("a", "of_a"), groups.toDF("b", "of_b")
+        left = todo.select("a", "b").join(best, ["a", "b"], "left_anti").join(first, "a", "left").join(second, "b", "left")
+        left = stored(left.filter(F.coalesce("of_a", "a") != F.coalesce("of_b", "b")).select("a", "b"), "open")
+        return groups if left.isEmpty() else self._joined(self.linked(left), groups)
+
+    def finished(self, placed: DataFrame, groups: DataFrame) -> DataFrame:
+        """``groups``, joined by all links of members outside ``main``, the largest component of their bucket,
+        with other members of buckets of this component. ``placed`` has key, id, of, main."""
+        members = stored(placed.select("main", "id", "of").distinct(), "members")
+        sets = self.sets(members.select("id").distinct())
+        rows = members.join(sets, "id")
+        # Blocks by hash: as many as the sets of a component, outside and in all, need.
+        sizes = members.groupBy("main").agg(F.count(F.lit(1)).alias("n"), F.count_if(F.col("of") != F.col("main")).alias("outside"))
+        sizes = sizes.select("main", *[F.ceil(F.col(n) / BLOCK).cast("int").alias(f"{n}_blocks") for n in ("n", "outside")])
+        rows = stored(rows.join(sizes, "main"), "blocks")
+
+        def spread(of_side: DataFrame, side: int, own: str, other: str, names: list[str]) -> DataFrame:
+            block = F.pmod(F.xxhash64("id"), F.col(own)).cast("int").alias(names[0])
+            every = F.explode(F.sequence(F.lit(0), F.col(other) - 1)).alias(names[1])
+            made = of_side.select("main", block, every, "id", "of", "members", F.lit(side).alias("side"))
+            return made.select("main", "p", "q", "side", "id", "of", "members")
+
+        rows = rows.filter("outside_blocks > 0")
+        x = spread(rows.filter("of <> main"), 0, "outside_blocks", "n_blocks", ["p", "q"])
+        y = spread(rows, 1, "n_blocks", "outside_blocks", ["q", "p"])
+        links = x.union(y).groupBy("main", "p", "q").applyInArrow(compare_blocks(self.percent), "a bigint, b bigint")
+        ordered = links.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct()
+        return self._joined(stored(ordered, "links"), groups)
+
+    def _joined(self, links: DataFrame, groups: DataFrame) -> DataFrame:
+        return stored(components(links.union(groups.toDF("a", "b"))), "groups")
+
+
+def _paired(placed: DataFrame) -> DataFrame:
+    """(a, b): each member of a bucket (key, id) with one of it, drawn by a hash."""
+    drawn = placed.groupBy("key").agg(F.min_by("id", F.xxhash64("id", "key")).alias("drawn"))
+    both = placed.join(drawn, "key").filter("id <> drawn")
+    return both.select(F.greatest("id", "drawn").alias("a"), F.least("id", "drawn").alias("b")).distinct()
+
+
+def shared_sizes(left: list[np.ndarray], right: list[np.ndarray]) -> np.ndarray:
+    """How many members each set of ``left`` shares with each of ``right``."""
+    x, y = np.concatenate(left), np.concatenate(right)
+    both = np.intersect1d(x, y)
+    total = np.zeros((len(left), len(right)), np.float32)
+
+    def places(values: np.ndarray, sets: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
+        row, at = np.repeat(np.arange(len(sets)), [len(s) for s in sets]), np.searchsorted(both, values)
+        hit = both[np.minimum(at, max(len(both) - 1, 0))] == values if len(both) else np.zeros(len(values), bool)
+        return row[hit], at[hit]
+
+    (row_x, at_x), (row_y, at_y) = places(x, left), places(y, right)
+    for lo in range(0, len(both), COLUMNS):
+        tables = []
+        for row, at, n in ((row_x, at_x, len(left)), (row_y, at_y, len(right))):
+            table = np.zeros((n, min(COLUMNS, len(both) - lo)), np.float32)
+            here = (at >= lo) & (at < lo + COLUMNS)
+            table[row[here], at[here] - lo] = 1
+            tables.append(table)
+        total += tables[0] @ tables[1].T
+    return total
+
+
+def compare_blocks(percent: int):
+    """Two blocks, told apart by ``side``, of (id, of, members): the links (a, b) between components."""
+
+    def run(table: pa.Table) -> pa.Table:
+        side = table["side"].to_numpy()
+        ids, of = table["id"].to_numpy(), table["of"].to_numpy()
+        sets = [np.asarray(m.values) for m in table["members"].combine_chunks()]
+        x, y = np.flatnonzero(side == 0), np.flatnonzero(side == 1)
+        i = j = np.empty(0, np.int64)
+        if len(x) and len(y):
+            shared = shared_sizes([sets[k] for k in x], [sets[k] for k in y])
+            size = np.array([len(m) for m in sets])
+            union = size[x][:, None] + size[y][None, :] - shared
+            i, j = np.nonzero((shared * 100 >= union * percent) & (of[x][:, None] != of[y][None, :]))
+        return pa.table({"a": pa.array(ids[x[i]], pa.int64()), "b": pa.array(ids[y[j]], pa.int64())})
+
+    return run
+
+
+def _mixed(placed: DataFrame) -> DataFrame:
+    """The buckets with members in more than one component, with ``main``, the largest of these."""
+    parts = placed.groupBy("key", "of").agg(F.count(F.lit(1)).alias("n"))
+    largest = F.max(F.struct("n", F.col("of").alias("main"))).alias("largest")
+    buckets = parts.groupBy("key").agg(F.sum("n").alias("n"), largest).select("key", "n", "largest.main", F.col("largest.n").alias("inside"))
+    return buckets.filter("inside < n")
 
 
 def near_groups(
@@ -193,6 +314,7 @@ def near_groups(
     """One row per row of ``docs``: id, n_shingles, component_id (smallest id it is linked with, over
     any number of links), kept (whether that is its own id)."""
     texts = docs.select(quoted(id_col).cast("bigint").alias("id"), quoted(text_col).cast("string").alias("text"))
+    spark = docs.sparkSession
     schema = "id bigint, size bigint, set_a bigint, set_b bigint, signature binary, keys array<bigint>"
     signed = stored(texts.mapInArrow(signature_rows(words), schema), "signatures")
     classes = signed.filter("size > 0").groupBy("set_a", "set_b", "size").agg(
@@ -201,28 +323,17 @@ def near_groups(
     classes = stored(classes, "classes")
     named = classes.filter("id IS NOT NULL")
 
+    search = Search(named.select("id", "size", "signature"), texts, words, percent, miss)
     keyed = named.select("id", F.explode("keys").alias("key"))
-    buckets = keyed.groupBy("key").agg(F.min("id").alias("pivot"), F.count(F.lit(1)).alias("n")).filter("n > 1")
-    members = stored(keyed.join(buckets, "key").select("key", "id", "pivot", "n"), "buckets")
-    stars = members.filter("id <> pivot").select(F.col("id").alias("a"), F.col("pivot").alias("b")).distinct()
-    links = _links(stars, named, texts, words, percent, miss)
-    groups = stored(components(links), "groups")
-
-    # Bucket members outside the component of the smallest one, against members of other components.
-    group_of = groups.select(F.col("node").alias("id"), F.col("component").alias("of"))
-    of_pivot = groups.select(F.col("node").alias("pivot"), F.col("component").alias("pivot_of"))
-    placed = members.filter("n > 2").join(group_of, "id", "left").join(of_pivot, "pivot", "left")
-    placed = placed.select("key", "id", "pivot", F.coalesce("of", "id").alias("of"), F.coalesce("pivot_of", "pivot").alias("pivot_of"))
-    placed = stored(placed, "placed")
-    outside = placed.filter("of <> pivot_of").select("key", F.col("id").alias("a"), F.col("of").alias("of_a"))
-    inside = placed.filter("id <> pivot").select("key", F.col("id").alias("b"), F.col("of").alias("of_b"), "pivot_of")
-    # Two that are both outside meet once.
-    once = (F.col("of_a") != F.col("of_b")) & ((F.col("of_b") == F.col("pivot_of")) | (F.col("a") < F.col("b")))
-    rest = outside.join(inside, "key").filter(once).select("a", "b").distinct()
-    rest = stored(rest, "rest")
-    if not rest.isEmpty():
-        more = _links(rest, named, texts, words, percent, miss)
-        groups = stored(components(links.union(more)), "groups")
+    buckets = keyed.groupBy("key").agg(F.count(F.lit(1)).alias("n")).filter("n > 1")
+    placed = stored(keyed.join(buckets, "key").select("key", "id", F.col("id").alias("of")), "buckets")
+    groups = search.connected(_paired(placed), spark.createDataFrame([], "node bigint, component bigint"))
+    of = placed.drop("of").join(groups.toDF("id", "component"), "id", "left")
+    placed = stored(of.select("key", "id", F.coalesce("component", "id").alias("of")), "placed")
+    # In a bucket of two, both were compared.
+    open_ = stored(placed.join(_mixed(placed).filter("n > 2").select("key", "main"), "key"), "mixed")
+    if not open_.isEmpty():
+        groups = search.finished(open_, groups)
 
     final = classes.select("set_a", "set_b", "size", "id").join(
         groups.select(F.col("node").alias("id"), "component"), "id", "left"
