@@ -7,7 +7,7 @@ suffixes of the prefix: the one that fits the last token of the prefix before it
 merge across their border would come before the merges that make them. Following these last tokens back
 from the end of the word gives the ids, without replaying the merges.
 
-Null and empty texts have no ids. Each task keeps the ids of words it has met, in two generations of
+Null and empty texts have no ids. Each worker keeps the ids of words it has met, in two generations of
 bounded size, so memory does not grow with the text.
 """
 
@@ -17,6 +17,7 @@ import gc
 import json
 import re
 import sys
+import types
 import unicodedata
 from collections.abc import Iterator
 
@@ -128,7 +129,7 @@ class Vocabulary:
                     i += 1
                 else:
                     j += 1
-            if len(self.fits_known) > 4_000_000:
+            if len(self.fits_known) > 1_000_000:
                 self.fits_known.clear()
             self.fits_known[key] = known
         return known
@@ -203,7 +204,7 @@ class Vocabulary:
 class KnownWords(dict):
     """Word to (its ids as bytes, its decoded tokens); words met lately stay, in two generations."""
 
-    def __init__(self, vocabulary: Vocabulary, most: int = 150_000, longest: int = 200) -> None:
+    def __init__(self, vocabulary: Vocabulary, most: int = 200_000, longest: int = 200) -> None:
         self.vocabulary, self.most, self.longest, self.older = vocabulary, most, longest, {}
 
     def __missing__(self, word: str) -> tuple[bytes, str]:
@@ -219,13 +220,22 @@ class KnownWords(dict):
         return found
 
 
+def worker_vocabulary(source: str) -> Vocabulary:
+    """The vocabulary of this worker process: made once, and with it the words that earlier tasks met. It
+    is kept in a module of its own, as a task's functions, and their globals, are unpickled anew each time."""
+    kept = sys.modules.setdefault("tallymart_worker", types.ModuleType("tallymart_worker")).__dict__
+    if kept.get("source") != source:
+        kept.update(source=source, vocabulary=Vocabulary(source))
+        # The tables live as long as the process; scanning them again and again would cost a third of the time.
+        gc.freeze()
+    return kept["vocabulary"]
+
+
 def encode_rows(source: str, with_decoded: bool):
     """A task over (…, text last): the other columns, then ids and, if asked for, the decoded text."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        vocabulary = Vocabulary(source)
-        gc.freeze()  # the tables hold no cycles; scanning them again and again would cost a third of the time
-        gc.disable()
+        vocabulary = worker_vocabulary(source)
         for batch in batches:
             for at in range(0, batch.num_rows, 500):
                 part = batch.slice(at, 500)
@@ -259,7 +269,7 @@ def decode(rows: DataFrame, vocabulary: str, ids_col: str = "ids", name: str = "
     """Add the text of the ids; null ids give null."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        words = Vocabulary(vocabulary)
+        words = worker_vocabulary(vocabulary)
         for batch in batches:
             texts = [None if ids is None else words.decode(ids) for ids in batch.column(batch.num_columns - 1).to_pylist()]
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(texts, pa.string())], ["row", "text"])
