@@ -8,6 +8,7 @@ from operator import add
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ._columns import as_col
 
@@ -18,18 +19,32 @@ def safe_ratio(num, den) -> Column:
     return F.when(d > 0, n / d)
 
 
-def row_sum(cols: Sequence, nulls: str = "ignore", dtype: str = "bigint") -> Column:
+def sum_type(df: DataFrame, cols: Sequence[str]) -> str:
+    """The type in which columns add up without loss: bigint if all are whole, decimal with the longest
+    fraction if all others are decimal, else double. Text adds up as bigint, where a fraction is an error."""
+    kinds = [df.schema[c].dataType for c in cols]
+    if any(isinstance(k, (T.FloatType, T.DoubleType)) for k in kinds):
+        return "double"
+    scales = [k.scale for k in kinds if isinstance(k, T.DecimalType)]
+    return f"decimal(38,{max(scales)})" if scales else "bigint"
+
+
+def row_sum(cols: Sequence, nulls: str = "ignore", dtype: str | None = None) -> Column:
     """Sum of several columns of one row.
 
     ``nulls="ignore"`` skips missing cells, so an all-missing row gives 0;
     ``nulls="propagate"`` makes one missing cell turn the sum missing.
+    The columns add up in their own types, whole ones as bigint; no fraction is cut. ``dtype``, best from
+    ``sum_type``, casts them first and keeps the code of long sums small.
     """
-    terms = [as_col(c).cast(dtype) for c in cols]
-    if nulls == "propagate":
-        return reduce(add, terms)
-    if nulls != "ignore":
+    if nulls not in ("ignore", "propagate"):
         raise ValueError(f"nulls must be 'ignore' or 'propagate', not {nulls!r}")
-    zero = F.lit(0).cast(dtype)
+    zero = F.lit(0).cast(dtype or "bigint")
+    terms = [as_col(c).cast(dtype) if dtype else as_col(c) for c in cols]
+    if nulls == "propagate":
+        return reduce(add, terms, zero)
+    if not dtype:
+        return reduce(add, [F.coalesce(t, zero) for t in terms], zero)
     if not terms:
         return zero
     # An array fold keeps the generated code small however many columns are summed.
@@ -62,7 +77,8 @@ def band_thresholds(
             [c for c, start in bands.items() if (low is None or start >= low) and (high is None or start < high)]
         )
     names = [f"__segment_{i}" for i in range(len(segments))]
-    summed = df.withColumns({n: row_sum(cols) for n, cols in zip(names, segments)})
+    dtype = sum_type(df, list(bands))
+    summed = df.withColumns({n: row_sum(cols, dtype=dtype) for n, cols in zip(names, segments)})
     out = {within.format(cuts[0]): F.col(names[0])}
     for i, cut in enumerate(cuts, start=1):
         out[over.format(cut)] = reduce(add, [F.col(n) for n in names[i:]])

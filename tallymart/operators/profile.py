@@ -33,7 +33,7 @@ TYPE_LABELS = {
 
 
 # Columns whose statistics one generated method can hold and still be compiled.
-COMPILED_COLUMNS = 16
+PER_SCAN = 16
 
 
 def schema_presence(headers: DataFrame) -> DataFrame:
@@ -64,15 +64,14 @@ def _named(out: DataFrame, columns: Sequence[str], name: str) -> DataFrame:
     return out.select(names[F.col("__place")].alias(name), *[c for c in out.columns if c != "__place"])
 
 
-def _scans(columns: Sequence[str], per_scan: int | None) -> list[list[str]]:
-    size = per_scan or max(len(columns), 1)
-    return [list(columns[i : i + size]) for i in range(0, len(columns), size)]
+def _scans(columns: Sequence[str], per_scan: int) -> list[list[str]]:
+    return [list(columns[i : i + per_scan]) for i in range(0, len(columns), per_scan)]
 
 
-def missing_profile(df: DataFrame, per_scan: int | None = None) -> DataFrame:
+def missing_profile(df: DataFrame, per_scan: int = PER_SCAN) -> DataFrame:
     """(column_name, missing_count, missing_pct), most missing first, ties in column order.
 
-    One pass by default; ``per_scan`` as in ``numeric_profile``.
+    ``per_scan`` as in ``numeric_profile``.
     """
     parts = []
     for columns in _scans(df.columns, per_scan):
@@ -93,26 +92,23 @@ NUMERIC_STATS = {
 }
 
 
-def numeric_profile(df: DataFrame, columns: Sequence[str] | None = None, per_scan: int | None = None) -> DataFrame:
+def numeric_profile(df: DataFrame, columns: Sequence[str] | None = None, per_scan: int = PER_SCAN) -> DataFrame:
     """(metric, min, max, zero_count, negative_count) of numeric columns, in column order.
 
-    One pass by default, which suits text, derived and small tables. ``per_scan`` says how many
-    columns one scan takes: for a large, wide table stored by column, narrow scans read the same
-    bytes in total and run several times faster, as the JVM compiles code for a few columns to
-    machine code but not code for a hundred. They cost some seconds of code generation.
+    ``per_scan`` says how many columns one scan takes. Of a wide table stored by column, narrow scans
+    read the same bytes in total and run several times faster, as the JVM compiles code for a few columns
+    to machine code but not code for a hundred. Store a table of text or a derived one first.
     Columns share one type: bigint if all are whole-number columns, else double.
     """
     columns = list(columns or columns_of_type(df, "numeric"))
     whole = all(isinstance(df.schema[c].dataType, T.IntegralType) for c in columns)
     dtype = "bigint" if whole else "double"
-    if per_scan or 0 < len(columns) <= COMPILED_COLUMNS:
-        values = df.select(*[quoted(c).cast(dtype).alias(c) for c in columns])
-        scans = [(values.select(*map(quoted, part)), part) for part in _scans(columns, per_scan)]
-        out = stack(*[stats_to_long(narrow, part, NUMERIC_STATS) for narrow, part in scans])
-        return out.orderBy(_place("metric", columns))
-    stats = [make(F.col("__value")).alias(name) for name, make in NUMERIC_STATS.items()]
-    cells = stack(_cells(df, columns, dtype), _no_cells(df, columns, dtype))
-    return _named(cells.groupBy("__place").agg(*stats).orderBy("__place"), columns, "metric")
+    if not columns:
+        return df.sparkSession.createDataFrame([], f"metric string, min {dtype}, max {dtype}, zero_count bigint, negative_count bigint")
+    values = df.select(*[quoted(c).cast(dtype).alias(c) for c in columns])
+    scans = [(values.select(*map(quoted, part)), part) for part in _scans(columns, per_scan)]
+    out = stack(*[stats_to_long(narrow, part, NUMERIC_STATS) for narrow, part in scans])
+    return out.orderBy(_place("metric", columns))
 
 
 def character_profile(df: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:
@@ -156,14 +152,25 @@ def short_value(col: Column) -> Column:
 def row_digest(df: DataFrame, columns: Sequence[str]) -> Column:
     """SHA-256 of the values of a row, the same for rows that ``GROUP BY`` would put together."""
 
-    def stable(field: T.StructField) -> Column:
-        if isinstance(field.dataType, T.FractionalType) and not isinstance(field.dataType, T.DecimalType):
-            return quoted(field.name) + F.lit(0.0)  # turns -0.0 into 0.0
-        if isinstance(field.dataType, (T.DatetimeType, T.DecimalType)):
-            return quoted(field.name).cast("string")
-        return quoted(field.name)
-
-    values = F.struct(*[stable(df.schema[c]).alias(f"_{i}") for i, c in enumerate(columns)])
+    def stable(value: Column, kind: T.DataType) -> Column:
+        if isinstance(kind, (T.FloatType, T.DoubleType)):
+            return value + F.lit(0.0)  # turns -0.0 into 0.0
+        if isinstance(kind, T.TimestampType):
+            return F.unix_micros(value)  # local time repeats an hour when clocks change
+        if isinstance(kind, T.BinaryType):
+            return F.hex(value)
+        if isinstance(kind, T.StringType):
+            return F.hex(value.cast("binary"))  # bytes that are no text stay apart
+        if isinstance(kind, (T.DatetimeType, T.DecimalType)):
+            return value.cast("string")
+        if isinstance(kind, T.ArrayType):
+            return F.transform(value, lambda x: stable(x, kind.elementType))
+        if isinstance(kind, T.StructType):
+            inner = F.struct(*[stable(value.getField(f.name), f.dataType).alias(f"_{i}") for i, f in enumerate(kind.fields)])
+            return F.when(value.isNotNull(), inner)
+        return value
+
+    values = F.struct(*[stable(quoted(c), df.schema[c].dataType).alias(f"_{i}") for i, c in enumerate(columns)])
     return F.sha2(F.to_json(values, {"ignoreNullFields": "false"}), 256)
 
 
@@ -198,15 +205,13 @@ def guess_schema(df: DataFrame) -> T.StructType:
     return T.StructType([T.StructField(n, T.StructType.fromDDL(f"x {t}")[0].dataType) for n, t in kinds.items()])
 
 
-def exact_duplicates(df: DataFrame, keys: Keys | None = None, digest: bool | None = None) -> DataFrame:
+def exact_duplicates(df: DataFrame, keys: Keys | None = None, digest: bool = False) -> DataFrame:
     """One row: how many rows equal an earlier row on ``keys`` (default: all columns).
 
-    Copies are combined inside each task before they are shuffled. Rows of many columns (or when
-    ``digest`` says so, as for long texts) are shuffled as 32-byte digests instead of whole.
+    Copies are combined inside each task before they are shuffled. With ``digest``, for wide rows or
+    long texts, rows are shuffled as 32-byte digests instead of whole; equality is then up to collision.
     """
     columns = as_list(keys or df.columns)
-    if digest is None:
-        digest = len(columns) > 16
     by = [F.unhex(row_digest(df, columns)).alias("__digest")] if digest else [quoted(c) for c in columns]
     groups = df.groupBy(*by).agg(F.count(F.lit(1)).alias("__n"))
     extra = F.coalesce(F.sum(F.col("__n") - 1), F.lit(0))
@@ -214,7 +219,7 @@ def exact_duplicates(df: DataFrame, keys: Keys | None = None, digest: bool | Non
 
 
 def profile_report(
-    df: DataFrame, headers: DataFrame, file_col: str = "source_file", per_scan: int | None = None
+    df: DataFrame, headers: DataFrame, file_col: str = "source_file", per_scan: int = PER_SCAN
 ) -> Mapping[str, DataFrame]:
     """The seven profile tables by name. Write them with ``write_report``.
 

@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions._columns import as_col
-from ..functions.rowwise import row_sum
+from ..functions.rowwise import row_sum, sum_type
 from .aggregates import count_by, distinct_on, rollup_measures, sanity_counts, sum_all_numeric
 from .joins import Keys, as_list, join_on, missing_keys
 from .reshape import stack, wide_to_long
@@ -70,15 +70,17 @@ def band_reconciliation(df: DataFrame, parts: Sequence[str], total: str, ranges:
     )
 
 
-def published_total_check(rows: DataFrame, totals: DataFrame, file: Keys, dtype: str = "bigint") -> DataFrame:
+def published_total_check(rows: DataFrame, totals: DataFrame, file: Keys, dtype: str | None = None) -> DataFrame:
     """Sums of every numeric column per file against the published total rows, one row per metric.
 
     Gives the file, metric, calculated_total, published_total, difference and matches; a metric with
-    no published value has a missing outcome.
+    no published value has a missing outcome. ``dtype`` is the type of both sides; by default the one in
+    which the metrics add up without loss.
     """
     files = as_list(file)
     calculated = sum_all_numeric(rows, files)
     metrics = [c for c in calculated.columns if c not in files]
+    dtype = dtype or sum_type(calculated.select(*metrics).unionByName(totals.select(*metrics)), metrics)
     calculated = wide_to_long(calculated, "metric", "calculated_total", files, dtype)
     published = wide_to_long(totals.select(*files, *metrics), "metric", "published_total", files, dtype)
     difference = F.col("calculated_total") - F.col("published_total")

@@ -31,8 +31,10 @@ def month_on_month(
 def _bucket(value: Column) -> Column:
     """A whole number that never falls as ``value`` rises; its range is bounded for doubles."""
     v = value.cast("double")
-    size = F.floor((F.log(F.abs(v)) + 800) * BUCKETS_PER_E)
-    return F.when(v > 0, size).when(v < 0, -size).otherwise(F.lit(0).cast("bigint"))
+    finite = F.floor((F.log(F.abs(v)) + 800) * BUCKETS_PER_E)
+    size = F.when(F.abs(v) == float("inf"), F.lit(1 << 39)).otherwise(finite)
+    # NaN is larger than any number, infinity included.
+    return F.when(F.isnan(v), F.lit(1 << 40)).when(v > 0, size).when(v < 0, -size).otherwise(F.lit(0).cast("bigint"))
 
 
 def rank_within(

@@ -10,7 +10,7 @@ import sys
 from pyspark.sql import DataFrame, SparkSession
 
 from tallymart.operators import profile_report
-from tallymart.operators.profile import COMPILED_COLUMNS, write_report
+from tallymart.operators.profile import write_report
 from tallymart.plans import contracts as C
 from tallymart.plans import emergency, model, waiting
 from tallymart.sources import (
@@ -23,9 +23,6 @@ from tallymart.sources import (
     write_csv,
 )
 
-# Rows from which the time narrow scans save outweighs the seconds of code generation they cost.
-NARROW_FROM = 10_000_000
-
 SORT_KEYS = {
     "fact_ae": ["report_month", "provider_code"],
     "fact_rtt_provider": C.PROVIDER_KEYS,
@@ -77,10 +74,9 @@ def write_validation(spark: SparkSession, tables: dict[str, DataFrame], out: str
     return write_report(reports, f"{out}/validation")
 
 
-def write_profile(rows: DataFrame, headers: DataFrame, out: str, narrow_from: int = NARROW_FROM) -> list[str]:
-    """The seven profile tables of the stored waiting-list rows, in narrow scans from ``narrow_from`` rows on."""
-    per_scan = COMPILED_COLUMNS if rows.count() >= narrow_from else None  # counted from Parquet footers
-    return write_report(profile_report(rows, headers, per_scan=per_scan), f"{out}/data_quality", "rtt_")
+def write_profile(rows: DataFrame, headers: DataFrame, out: str) -> list[str]:
+    """The seven profile tables of the stored waiting-list rows."""
+    return write_report(profile_report(rows, headers), f"{out}/data_quality", "rtt_")
 
 
 def main(argv: list[str]) -> None:

@@ -13,6 +13,10 @@ from ..functions._columns import quoted
 from .files import CSV_DIALECT, list_sources
 
 
+# Spark's writer trims text unless told not to.
+UNTRIMMED = {"ignoreLeadingWhiteSpace": False, "ignoreTrailingWhiteSpace": False}
+
+
 def write_csv(df: DataFrame, path: str, partition_by: Sequence[str] = ()) -> None:
     """Header CSV with ``NA`` for missing cells and ``TRUE`` / ``FALSE`` for booleans.
 
@@ -22,7 +26,7 @@ def write_csv(df: DataFrame, path: str, partition_by: Sequence[str] = ()) -> Non
         F.upper(quoted(f.name).cast("string")).alias(f.name) if isinstance(f.dataType, T.BooleanType) else quoted(f.name)
         for f in df.schema.fields
     ]
-    df.select(*columns).write.mode("overwrite").options(**CSV_DIALECT).partitionBy(*partition_by).csv(path)
+    df.select(*columns).write.mode("overwrite").options(**CSV_DIALECT, **UNTRIMMED).partitionBy(*partition_by).csv(path)
 
 
 def save_table(df: DataFrame, path: str, partition_by: Sequence[str] = ()) -> DataFrame:
@@ -67,7 +71,11 @@ def literal_table(spark: SparkSession, rows: Sequence[tuple], schema: str) -> Da
 def export_check(spark: SparkSession, names: Sequence[str], folder: str) -> DataFrame:
     """(file_name, exists): which expected files, or folders of part files, lie in ``folder``."""
     listing = list_sources(spark, folder, pattern="*", recursive=True)
-    inside = F.substring_index("path", f"{folder.split(':', 1)[-1].strip('/')}/", -1)
+    # The folder's own absolute path comes first in each listed path; its name may come again later.
+    root = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(folder)
+    root = root.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).makeQualified(root).toUri().getPath()
+    path = F.regexp_replace("path", "^[A-Za-z][A-Za-z0-9+.-]*:(//[^/]*)?", "")
+    inside = path.substr(F.lit(len(root.rstrip("/")) + 2), F.length(path))
     present = listing.select(F.split(inside, "/")[0].alias("file_name")).distinct()
     expected = literal_table(spark, [(n,) for n in names], "file_name string")
     found = present.withColumn("__found", F.lit(True))

@@ -49,11 +49,12 @@ def test_column_search():
 
 
 def test_likely_fields():
-    found = likely_fields(C.WAITING_TEXT + C.WAITING_COUNTS, C.FIELD_PATTERNS)
-    assert found["period"] == ["period", "patients_with_unknown_clock_start_date"]
-    assert found["provider"][:2] == ["provider_parent_org_code", "provider_parent_name"]
-    assert found["specialty"] == ["treatment_function_code", "treatment_function_name"]
-    assert len(found["wait"]) == 105
+    patterns = {"when": "^period|date$", "who": "^provider", "what": "function_", "band": "^gt_"}
+    found = likely_fields(C.WAITING_TEXT + C.WAITING_COUNTS, patterns)
+    assert found["when"] == ["period", "patients_with_unknown_clock_start_date"]
+    assert found["who"][:2] == ["provider_parent_org_code", "provider_parent_name"]
+    assert found["what"] == ["treatment_function_code", "treatment_function_name"]
+    assert len(found["band"]) == 105
 
 
 def test_band_lookup_finds_all_105_bands():
