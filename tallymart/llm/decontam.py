@@ -6,8 +6,9 @@ it lies in any occurrence of a window.
 
 Hashes of word k-grams slide over a text; a k-gram is a fingerprint if its hash is the least of some
 w = window - k + 1 neighbouring ones, so every shared span of a window's length has a shared fingerprint
-at the same place in it. Only fingerprints are joined. A hit is extended: the window's words are compared
-with the document's words around the fingerprint, so results do not rest on hashes. Items shorter than
+at the same place in it. Only fingerprints are joined. Documents that share one are looked at again: wherever
+the shared hash stands, the window's words are compared with the document's words around it, so results
+do not rest on hashes. Items shorter than
 the window are handled alike, once for each of the few lengths that occur.
 
 The item side is broadcast if its counted rows are few, else both sides are shuffled. Rows of one id and
@@ -32,13 +33,28 @@ UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
 
 def words_of(text: Column) -> Column:
-    return F.array_remove(F.split(F.translate(text, UPPER, LOWER), GAPS), "")
+    # Both give the same for ASCII texts, where the first is much faster.
+    ascii_only = F.octet_length(text) == F.length(text)
+    lowered = F.when(ascii_only, F.lower(text)).otherwise(F.translate(text, UPPER, LOWER))
+    return F.array_remove(F.split(lowered, GAPS), "")
 
 
 def gram_hashes(words: str, k: int) -> str:
-    """SQL: the hash of each run of ``k`` words."""
-    grams = f"transform(sequence(1, size({words}) - {k - 1}), i -> xxhash64(slice({words}, i, {k})))"
-    return f"if(size({words}) >= {k}, {grams}, cast(array() as array<bigint>))"
+    """SQL: the hash of each run of ``k`` of the hashed words ``words``, an array of bigint."""
+    others = "".join(f", {words}[i + {j}]" for j in range(1, k))
+    return f"transform(slice({words}, 1, greatest(size({words}) - {k - 1}, 0)), (x, i) -> xxhash64(x{others}))"
+
+
+def running_least(frame: DataFrame, name: str, w: int) -> DataFrame:
+    """Turn the array ``name`` into the least of each ``w`` neighbouring values, by runs of 1, 2, 4, ..."""
+    size = f"greatest(size({name}) - {w - 1}, 0)"
+    frame = frame.withColumn("__size", F.expr(size))
+    reach = 1
+    while reach < w:
+        step = min(reach, w - reach)
+        frame = frame.withColumn(name, F.expr(f"zip_with({name}, slice({name}, {step + 1}, size({name})), (a, b) -> least(a, b))"))
+        reach += step
+    return frame.withColumn(name, F.expr(f"slice({name}, 1, __size)")).drop("__size")
 
 
 def _windows(items: DataFrame, id_col: str, text_col: str, window: int) -> DataFrame:
@@ -50,34 +66,36 @@ def _windows(items: DataFrame, id_col: str, text_col: str, window: int) -> DataF
     return cut.distinct()
 
 
-def _picked(frame: DataFrame, words: str, length: int) -> DataFrame:
-    """Add ``h``, the k-gram hashes of ``words``, and ``least``: at j, the least of the w hashes from j on."""
-    k = min(GRAM, length)
-    w = length - k + 1
-    frame = frame.withColumn("h", F.expr(gram_hashes(words, k)))
-    n = f"(size(h) - {w - 1})"
-    least = f"if({n} > 0, transform(sequence(1, greatest({n}, 1)), j -> array_min(slice(h, j, {w}))), cast(array() as array<bigint>))"
-    return frame.withColumn("least", F.expr(least))
+def _hashed(frame: DataFrame, length: int) -> DataFrame:
+    """Add ``h``, the k-gram hashes of ``words``."""
+    frame = frame.withColumn("each", F.expr("transform(words, x -> xxhash64(x))"))
+    return frame.withColumn("h", F.expr(gram_hashes("each", min(GRAM, length)))).drop("each")
 
 
 def document_fingerprints(docs: DataFrame, length: int) -> DataFrame:
-    """(doc, mixed, at, hash) of a table with doc, mixed, words: hashes that are the least of some w
-    neighbouring ones. Such a hash equals the greatest of the ``least`` values it takes part in."""
-    w = length - min(GRAM, length) + 1
-    picked = _picked(docs, "words", length)
-    # Hash i (from 0) takes part in least[i - w + 1 .. i], as far as these exist.
-    low, high = f"greatest(i - {w - 1}, 0)", "least(i, size(least) - 1)"
-    own = f"size(least) > 0 AND x = array_max(slice(least, {low} + 1, {high} - {low} + 1))"
-    pairs = f"filter(transform(h, (x, i) -> if({own}, struct(i AS at, x AS hash), null)), p -> p IS NOT NULL)"
-    found = picked.select("doc", "mixed", F.explode(F.expr(pairs)).alias("p"))
-    return found.select("doc", "mixed", "p.at", "p.hash")
+    """(doc, mixed, hash) of a table with doc, mixed, words: the least k-gram hash of each window, each once."""
+    picked = _hashed(docs, length).select("doc", "mixed", F.col("h").alias("least"))
+    picked = running_least(picked, "least", length - min(GRAM, length) + 1)
+    return picked.select("doc", "mixed", F.explode(F.array_distinct("least")).alias("hash"))
 
 
 def window_fingerprints(windows: DataFrame, length: int) -> DataFrame:
     """Add (hash, offset) of the fingerprint of each window, the first if several are least."""
-    one = _picked(windows.filter(F.col("len") == length), "words", length)
-    hash_ = F.element_at("least", 1)
-    return one.withColumns({"hash": hash_, "offset": F.array_position("h", hash_) - 1}).drop("h", "least")
+    one = _hashed(windows.filter(F.col("len") == length), length)
+    one = one.withColumn("hash", F.array_min("h"))
+    return one.withColumn("offset", F.array_position("h", F.col("hash")) - 1).drop("h")
+
+
+def _places(texts: DataFrame, found: DataFrame, marks: DataFrame, length: int) -> DataFrame:
+    """(doc, mixed, start, wanted): where the windows of shared fingerprints would begin in the documents."""
+    each = found.groupBy(F.col("doc").alias("d"), F.col("mixed").alias("m")).agg(F.collect_set("hash").alias("shared"))
+    each = broadcast_if_small(stored(each, "shared"))
+    hit = texts.join(each, same(F.col("doc"), F.col("d")) & (F.col("mixed") == F.col("m")))
+    hit = _hashed(hit.select("doc", "mixed", words_of(F.col("text")).alias("words"), "shared"), length)
+    at = F.expr("filter(transform(h, (x, i) -> if(array_contains(shared, x), struct(i AS at, x AS hash), null)), p -> p IS NOT NULL)")
+    at = hit.select("doc", "mixed", F.explode(at).alias("p")).select("doc", "mixed", "p.at", "p.hash")
+    at = at.join(marks, "hash")
+    return at.select("doc", "mixed", (F.col("at") - F.col("offset")).alias("start"), F.col("words").alias("wanted"))
 
 
 def contamination(
@@ -88,9 +106,11 @@ def contamination(
     item_col: str = "item_id",
     item_text_col: str = "text",
     window: int = 10,
+    only_shared: bool = False,
 ) -> DataFrame:
     """One row per row of ``docs``: id, mixed (hash of the text), n_words, n_hit, hit (positions of hit
-    words, from 0), item_ids (those with occurring windows, as sorted strings)."""
+    words, from 0), item_ids (those with occurring windows, as sorted strings). With ``only_shared``,
+    documents that share no fingerprint with an item, and so have no hit, are left out."""
     spark = docs.sparkSession
     texts = docs.select(
         quoted(id_col).alias("doc"), F.xxhash64(whole_text(text_col)).alias("mixed"), whole_text(text_col).alias("text")
@@ -105,8 +125,10 @@ def contamination(
     for length in lengths:
         marks = stored(window_fingerprints(distinct, length).drop("code"), "marks")
         marks = broadcast_if_small(marks)
-        found = document_fingerprints(worded, length).join(marks, "hash")
-        hits.append(found.select("doc", "mixed", (F.col("at") - F.col("offset")).alias("start"), F.col("words").alias("wanted")))
+        codes = marks.select("hash").distinct()
+        codes = broadcast_if_small(codes, 64)
+        found = document_fingerprints(worded, length).join(codes, "hash", "left_semi")
+        hits.append(_places(texts, found, marks, length))
     if hits:
         found = reduce(DataFrame.union, hits).filter("start >= 0")
     else:
@@ -116,7 +138,7 @@ def contamination(
     places = found.groupBy("doc", "mixed").agg(F.collect_set(F.struct("start", "wanted")).alias("places"))
     places = stored(places, "places")
     few = broadcast_if_small(places.select(F.col("doc").alias("d"), F.col("mixed").alias("m"), "places"))
-    joined = texts.join(few, same(F.col("doc"), F.col("d")) & (F.col("mixed") == F.col("m")), "left")
+    joined = texts.join(few, same(F.col("doc"), F.col("d")) & (F.col("mixed") == F.col("m")), "inner" if only_shared else "left")
     joined = joined.select("doc", "mixed", words_of(F.col("text")).alias("words"), "places")
     real = F.expr("filter(places, p -> slice(words, p.start + 1, size(p.wanted)) = p.wanted)")
     checked = joined.withColumn("real", F.coalesce(real, F.expr("cast(array() as array<struct<start:int,wanted:array<string>>>)")))
@@ -147,7 +169,7 @@ def contamination(
 
 def drop_contaminated(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text_col: str = "text", **options) -> DataFrame:
     """``docs`` without the documents that hold a window of an item."""
-    bad = contamination(docs, items, id_col, text_col, **options).filter("n_hit > 0")
+    bad = contamination(docs, items, id_col, text_col, only_shared=True, **options).filter("n_hit > 0")
     bad = stored(bad.select(F.col(id_col).alias("__bad"), F.col("mixed").alias("__mixed")).distinct(), "contaminated")
     match = same(quoted(id_col), F.col("__bad")) & (F.xxhash64(whole_text(text_col)) == F.col("__mixed"))
     return docs.join(broadcast_if_small(bad, 64), match, "left_anti")
