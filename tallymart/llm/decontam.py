@@ -39,20 +39,15 @@ def words_of(text: Column) -> Column:
     return F.array_remove(F.split(lowered, GAPS), "")
 
 
-def gram_hashes(words: str, k: int) -> str:
-    """SQL: the hash of each run of ``k`` of the hashed words ``words``, an array of bigint."""
-    others = "".join(f", {words}[i + {j}]" for j in range(1, k))
-    return f"transform(slice({words}, 1, greatest(size({words}) - {k - 1}, 0)), (x, i) -> xxhash64(x{others}))"
-
-
-def running_least(frame: DataFrame, name: str, w: int) -> DataFrame:
-    """Turn the array ``name`` into the least of each ``w`` neighbouring values, by runs of 1, 2, 4, ..."""
-    size = f"greatest(size({name}) - {w - 1}, 0)"
-    frame = frame.withColumn("__size", F.expr(size))
+def running(frame: DataFrame, name: str, w: int, merged: str) -> DataFrame:
+    """Turn the array ``name`` into what ``merged``, SQL of a and b, makes of each ``w`` neighbouring values,
+    by runs of 1, 2, 4, ... of them; the last two runs may overlap."""
+    frame = frame.withColumn("__size", F.expr(f"greatest(size({name}) - {w - 1}, 0)"))
     reach = 1
     while reach < w:
         step = min(reach, w - reach)
-        frame = frame.withColumn(name, F.expr(f"zip_with({name}, slice({name}, {step + 1}, size({name})), (a, b) -> least(a, b))"))
+        shifted = f"slice({name}, {step + 1}, size({name}))"
+        frame = frame.withColumn(name, F.expr(f"zip_with({name}, {shifted}, (a, b) -> {merged})"))
         reach += step
     return frame.withColumn(name, F.expr(f"slice({name}, 1, __size)")).drop("__size")
 
@@ -68,14 +63,14 @@ def _windows(items: DataFrame, id_col: str, text_col: str, window: int) -> DataF
 
 def _hashed(frame: DataFrame, length: int) -> DataFrame:
     """Add ``h``, the k-gram hashes of ``words``."""
-    frame = frame.withColumn("each", F.expr("transform(words, x -> xxhash64(x))"))
-    return frame.withColumn("h", F.expr(gram_hashes("each", min(GRAM, length)))).drop("each")
+    frame = frame.withColumn("h", F.expr("transform(words, x -> xxhash64(x))"))
+    return running(frame, "h", min(GRAM, length), "xxhash64(a, b)")
 
 
 def document_fingerprints(docs: DataFrame, length: int) -> DataFrame:
     """(doc, mixed, hash) of a table with doc, mixed, words: the least k-gram hash of each window, each once."""
     picked = _hashed(docs, length).select("doc", "mixed", F.col("h").alias("least"))
-    picked = running_least(picked, "least", length - min(GRAM, length) + 1)
+    picked = running(picked, "least", length - min(GRAM, length) + 1, "least(a, b)")
     return picked.select("doc", "mixed", F.explode(F.array_distinct("least")).alias("hash"))
 
 
