@@ -4,6 +4,7 @@ time and streams, so memory use does not depend on file size."""
 from __future__ import annotations
 
 import csv
+import hashlib
 import io
 import posixpath
 import sys
@@ -89,6 +90,7 @@ def member_rows(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
             yield pd.DataFrame(
                 {
                     "path": [path] * len(infos),
+                    "position": range(len(infos)),
                     "source_zip": [posixpath.basename(path)] * len(infos),
                     "file_name": [i.filename for i in infos],
                     "file_size": [i.file_size for i in infos],
@@ -97,25 +99,23 @@ def member_rows(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
 
 
 def unpack_rows(target: str):
-    """A task that copies archive members to ``target/<archive>/<member>``."""
+    """A task that copies archive members to ``target/<archive>/<position>/<member>``; an archive is opened
+    once for all its members in a batch."""
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         out, root = open_filesystem(target)
         for batch in batches:
-            written = []
-            for row in batch.itertuples(index=False):
-                filesystem, local = open_filesystem(row.path)
+            written = {}
+            for path, members in batch.groupby("path", sort=False):
+                folder = posixpath.join(root, f"{hashlib.sha256(path.encode()).hexdigest()[:32]}-{posixpath.basename(path)}")
+                filesystem, local = open_filesystem(path)
                 with filesystem.open_input_file(local) as raw, zipfile.ZipFile(raw) as archive:
-                    with archive.open(row.file_name) as member:
-                        final = posixpath.join(root, row.source_zip, staged_name(row.file_name))
-                        written.append(copy_whole(member, out, final))
-            yield pd.DataFrame(
-                {
-                    "source_zip": batch["source_zip"],
-                    "file_name": batch["file_name"],
-                    "file_size": pd.Series(written, index=batch.index, dtype="int64"),
-                }
-            )
+                    infos = archive.infolist()
+                    for at, position in members["position"].items():
+                        with archive.open(infos[position]) as member:
+                            final = posixpath.join(folder, str(position), staged_name(infos[position].filename))
+                            written[at] = copy_whole(member, out, final)
+            yield batch.assign(file_size=pd.Series(written, dtype="int64"))
 
     return run
 

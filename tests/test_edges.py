@@ -2,12 +2,15 @@
 
 import datetime
 import os
+import warnings
+import zipfile
 
+import pytest
 from pyspark.sql import functions as F
 
 from tallymart.functions import row_sum
 from tallymart.operators import band_reconciliation, exact_duplicates, published_total_check, rank_within
-from tallymart.sources import export_check, read_csv, write_csv
+from tallymart.sources import _tasks, export_check, read_csv, read_zip_csv, write_csv
 
 
 def test_fractions_are_not_cut(spark):
@@ -68,3 +71,26 @@ def test_more_than_500_layouts(spark, tmp_path):
 
     rows = read_csv(spark, str(tmp_path), T.StructType().add("k", "integer"), lineage=None)
     assert len(rows.columns) == 1 and rows.limit(3).count() == 3
+
+
+def test_archives_and_members_of_one_name(spark, tmp_path):
+    for year in ("2025", "2026"):
+        (tmp_path / year).mkdir()
+        with zipfile.ZipFile(tmp_path / year / "data.zip", "w") as archive:
+            archive.writestr("a.csv", f"code,n\n{year},1\n")
+            with warnings.catch_warnings():
+                warnings.simplefilter("ignore")
+                archive.writestr("a.csv", f"code,n\n{year},2\n")
+    folders = [str(tmp_path / "2025"), str(tmp_path / "2026")]
+    got = read_zip_csv(spark, folders, stage=f"{tmp_path}/stage").collect()
+    assert sorted((r.code, r.n) for r in got) == [("2025", "1"), ("2025", "2"), ("2026", "1"), ("2026", "2")]
+    assert {r.source_file for r in got} == {"a.csv"}
+
+
+def test_short_manifest_stops(spark, tmp_path, monkeypatch):
+    with zipfile.ZipFile(tmp_path / "data.zip", "w") as archive:
+        archive.writestr("a.csv", "code,n\nA,1\n")
+        archive.writestr("b.csv", "code,n\nB,1\n")
+    monkeypatch.setattr(_tasks, "unpack_rows", lambda target: lambda batches: (b.iloc[:0] for b in batches))
+    with pytest.raises(ValueError, match="unpacked"):
+        read_zip_csv(spark, str(tmp_path), stage=f"{tmp_path}/stage")
