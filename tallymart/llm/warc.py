@@ -114,7 +114,11 @@ def resolve_revisits(records: DataFrame) -> DataFrame:
     )
     payloads = records.filter((F.col("kind") == "response") & (F.col("status") == 200) & F.col("record_id").isNotNull())
     payloads = payloads.groupBy(F.col("record_id").alias("source_id")).agg(F.max("payload").alias("payload"))
-    return found.join(payloads, "source_id", "left").select(
+    # Revisits without a source would all meet in one task of the join; the second key spreads them.
+    spread = F.when(F.col("source_id").isNotNull(), F.xxhash64("source_id")).otherwise(F.xxhash64("record_id", "canonical_url", "date"))
+    found = found.withColumn("spread", spread)
+    payloads = payloads.withColumn("spread", F.xxhash64("source_id"))
+    return found.join(payloads, ["source_id", "spread"], "left").select(
         "record_id", "canonical_url", "date", "outcome", "source_id", "headers", "payload"
     )
 
