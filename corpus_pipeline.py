@@ -10,6 +10,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tallymart.functions._columns import quoted
 from tallymart.llm import bpe, decontam, exact, langid, minhash
 from tallymart.llm.queries import public_vocabulary
 from tallymart.llm.shared import read_table, stored
@@ -21,7 +22,7 @@ ORACLE_SQL = None
 def languages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents whose language is known; those without a letter go. The model learns from every labelled row."""
     model = langid.fit(docs.select("lang", "text"))
-    found = langid.label_spans(docs.select(F.struct(*docs.columns).alias("doc"), "text"), model)
+    found = langid.label_spans(docs.select(F.struct(*[quoted(c) for c in docs.columns]).alias("doc"), "text"), model)
     return found.filter(F.col("lang_pred") != langid.UNKNOWN).select("row.doc.*")
 
 
@@ -41,7 +42,9 @@ def benchmark_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Dat
 
 
 def token_ids(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """All columns, with the ids of each text's tokens and their number."""
+    """All columns, with the ids of each text's tokens and their number; these take the place of columns
+    that were called so."""
+    docs = docs.drop("token_ids", "n_tokens")
     found = bpe.encode(docs, bpe.read_vocabulary(public_vocabulary()), with_text=True)
     return found.select("row.*", F.col("ids").alias("token_ids"), F.size("ids").cast("bigint").alias("n_tokens"))
 
