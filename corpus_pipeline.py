@@ -10,7 +10,6 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallymart.functions._columns import quoted
 from tallymart.llm import bpe, decontam, exact, langid, minhash
 from tallymart.llm.queries import public_vocabulary
 from tallymart.llm.shared import read_table, stored
@@ -22,8 +21,8 @@ ORACLE_SQL = None
 def languages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents whose language is known; those without a letter go. The model learns from every labelled row."""
     model = langid.fit(docs.select("lang", "text"))
-    found = langid.label_spans(docs.select(F.struct(*[quoted(c) for c in docs.columns]).alias("doc"), "text"), model)
-    return found.filter(F.col("lang_pred") != langid.UNKNOWN).select("row.doc.*")
+    found = langid.label_spans(docs, model, with_text=True).filter(F.col("lang_pred") != langid.UNKNOWN)
+    return found.select(*[F.col("text") if c == "text" else F.col("row").getField(c).alias(c) for c in docs.columns])
 
 
 def exact_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -28,6 +28,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions._columns import quoted
+from .memory import tidy
 from .shared import schema_of
 
 NEVER = 1 << 60
@@ -262,7 +263,7 @@ def encode(docs: DataFrame, vocabulary: str, text_col: str = "text", with_decode
     rest = F.struct(*[quoted(c) for c in docs.columns if with_text or c != text_col])
     rows = docs.select(rest.alias("row"), quoted(text_col).cast("string").alias("text"))
     schema = schema_of({"row": rows.schema["row"].dataType}, "ids array<int>" + ", decoded string" * with_decoded)
-    return rows.mapInArrow(encode_rows(vocabulary, with_decoded), schema)
+    return rows.mapInArrow(tidy(encode_rows(vocabulary, with_decoded)), schema)
 
 
 def decode(rows: DataFrame, vocabulary: str, ids_col: str = "ids", name: str = "decoded") -> DataFrame:

@@ -28,6 +28,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions._columns import quoted
+from .memory import tidy
 from .shared import schema_of
 
 UNKNOWN = "und"
@@ -58,7 +59,7 @@ SCRIPTS = {
 }
 
 TABLE = 0x32400  # code points above hold no letters
-PIECE = 1 << 20  # characters looked at in one step
+PIECE = 1 << 18  # characters looked at in one step
 
 
 @dataclass(frozen=True)
@@ -174,7 +175,7 @@ def fit(
     rows = labelled.filter(quoted(lang_col).isNotNull()).select(
         quoted(lang_col).cast("string").alias("lang"), quoted(text_col).cast("string").alias("text")
     )
-    counts = rows.mapInArrow(count_features(bits), "lang string, bucket bigint, n bigint")
+    counts = rows.mapInArrow(tidy(count_features(bits)), "lang string, bucket bigint, n bigint")
     counts = counts.groupBy("lang", "bucket").agg(F.sum("n").alias("n"))
     # Only the languages with most counted triples stay.
     packed = counts.groupBy("lang").agg(
@@ -225,8 +226,8 @@ def viterbi(scores: np.ndarray, sizes: np.ndarray, cost: float) -> np.ndarray:
     return label
 
 
-def label_rows(model: Model):
-    """A task over (…, text last): the other columns, then lang_pred, score and spans."""
+def label_rows(model: Model, with_text: bool = False):
+    """A task over (…, text last): the other columns (the text only ``with_text``), then lang_pred, score and spans."""
 
     def labelled(reader: Reader, texts: list[str]):
         found = []
@@ -263,12 +264,12 @@ def label_rows(model: Model):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         reader = Reader(model.bits)
         for batch in batches:
-            for at in range(0, batch.num_rows, 2000):
-                part = batch.slice(at, 2000)
+            for at in range(0, batch.num_rows, 500):
+                part = batch.slice(at, 500)
                 texts = [t or "" for t in part.column(part.num_columns - 1).to_pylist()]
-                yield pa.RecordBatch.from_arrays(
-                    [*part.columns[:-1], *labelled(reader, texts)], [*part.schema.names[:-1], "lang_pred", "score", "spans"]
-                )
+                passed = part.num_columns if with_text else part.num_columns - 1
+                names = [*part.schema.names[:passed], "lang_pred", "score", "spans"]
+                yield pa.RecordBatch.from_arrays([*part.columns[:passed], *labelled(reader, texts)], names)
 
     return run
 
@@ -276,15 +277,15 @@ def label_rows(model: Model):
 SPANS = pa.list_(pa.struct([("lang", pa.string()), ("start", pa.int64()), ("end", pa.int64())]))
 
 
-def label_spans(docs: DataFrame, model: Model, text_col: str = "text") -> DataFrame:
-    """(row, lang_pred, score, spans): ``row`` holds all columns of ``docs`` but the text, which is not
-    sent back; spans are (lang, start, end) in code points, end exclusive, from the first letter of a
+def label_spans(docs: DataFrame, model: Model, text_col: str = "text", with_text: bool = False) -> DataFrame:
+    """(row[, text], lang_pred, score, spans): ``row`` holds all columns of ``docs`` but the text, which is
+    sent back only ``with_text``; spans are (lang, start, end) in code points, end exclusive, from the first letter of a
     span to the last."""
     rest = F.struct(*[quoted(c) for c in docs.columns if c != text_col])
     rows = docs.select(rest.alias("row"), quoted(text_col).cast("string").alias("text"))
     added = "lang_pred string, score double, spans array<struct<lang:string,start:bigint,end:bigint>>"
-    schema = schema_of({"row": rows.schema["row"].dataType}, added)
-    return rows.mapInArrow(label_rows(model), schema)
+    schema = schema_of({"row": rows.schema["row"].dataType}, "text string, " * with_text + added)
+    return rows.mapInArrow(tidy(label_rows(model, with_text)), schema)
 
 
 cloudpickle.register_pickle_by_value(sys.modules[__name__])

@@ -37,6 +37,7 @@ from pyspark.sql import functions as F
 from ..functions._columns import quoted
 from . import words as W
 from .components import components
+from .memory import tidy
 from .shared import broadcast_if_small, stored
 
 BANDS, ROWS, BATCHES, BATCH = 24, 4, 4, 32
@@ -78,8 +79,8 @@ def signature_rows(k: int):
         hasher, draw = W.WordHasher(), np.random.default_rng(SEED)
         factors = draw.integers(0, 1 << 63, HASHES, dtype=np.int64).astype(W.U64) * W.U64(2) + W.U64(1)
         for batch in batches:
-            for at in range(0, batch.num_rows, 1000):
-                part = batch.slice(at, 1000)
+            for at in range(0, batch.num_rows, 500):
+                part = batch.slice(at, 500)
                 n = part.num_rows
                 members, of = shingle_sets(part.column(1), k, hasher)
                 size = np.bincount(of, minlength=n)
@@ -125,8 +126,8 @@ def set_rows(k: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hasher = W.WordHasher()
         for batch in batches:
-            for at in range(0, batch.num_rows, 1000):
-                part = batch.slice(at, 1000)
+            for at in range(0, batch.num_rows, 500):
+                part = batch.slice(at, 500)
                 members, of = shingle_sets(part.column(1), k, hasher)
                 offsets = np.concatenate(([0], np.cumsum(np.bincount(of, minlength=part.num_rows))))
                 lists = pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), pa.array(members.view(np.int64)))
@@ -189,12 +190,12 @@ class Search:
         near = F.least("size_a", "size_b") * 100 >= F.greatest("size_a", "size_b") * self.percent
         sized = pairs.join(mine, "a").join(other, "b").filter(near).select("a", "b", "sig_a", "sig_b")
         least = least_agreements(self.percent / 100, self.miss)
-        return stored(sized.mapInArrow(prune_rows(least), "a bigint, b bigint, agreed int"), "survivors")
+        return stored(sized.mapInArrow(tidy(prune_rows(least)), "a bigint, b bigint, agreed int"), "survivors")
 
     def sets(self, ids: DataFrame) -> DataFrame:
         """(id, members): the whole sets of the texts with these ids, stored."""
         wanted = broadcast_if_small(stored(ids, "wanted"), 16)
-        found = self.texts.join(wanted, "id", "left_semi").mapInArrow(set_rows(self.words), "id bigint, members array<bigint>")
+        found = self.texts.join(wanted, "id", "left_semi").mapInArrow(tidy(set_rows(self.words)), "id bigint, members array<bigint>")
         # Rows of one id and one text give the same set.
         return stored(found.distinct(), "sets")
 
@@ -316,7 +317,7 @@ def near_groups(
     texts = docs.select(quoted(id_col).cast("bigint").alias("id"), quoted(text_col).cast("string").alias("text"))
     spark = docs.sparkSession
     schema = "id bigint, size bigint, set_a bigint, set_b bigint, signature binary, keys array<bigint>"
-    signed = stored(texts.mapInArrow(signature_rows(words), schema), "signatures")
+    signed = stored(texts.mapInArrow(tidy(signature_rows(words)), schema), "signatures")
     classes = signed.filter("size > 0").groupBy("set_a", "set_b", "size").agg(
         F.min("id").alias("id"), F.first("signature").alias("signature"), F.first("keys").alias("keys")
     )

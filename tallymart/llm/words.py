@@ -14,7 +14,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark import cloudpickle
 
-SLICE = 1 << 20
+SLICE = 1 << 18
 BASE = 0x9E3779B97F4A7C15 | 1
 U64 = np.uint64
 
