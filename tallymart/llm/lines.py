@@ -1,10 +1,11 @@
 """Line dedup within one word edit, by deletion neighbourhoods.
 
 A line's words are runs of bytes other than space and 0x09-0x0D, with A-Z as a-z; two lines are near if
-one word added, taken away or replaced turns one's words into the other's. Lines of fewer than
-``MIN_WORDS`` words always stay; from ``FUZZY_WORDS`` words on near lines count as repeats, below only equal
-ones. A line goes if an equal or near line comes earlier, by (doc id, line number); whether that line
-itself goes does not matter, so the result does not depend on any order of work.
+one word added, taken away or replaced turns one's words into the other's. Lines without a word always
+stay; from ``FUZZY_WORDS`` words on near lines count as repeats, below only equal ones, as any two lines of
+one word are near, and those of two words may share no more than they differ in. A line in a script without
+spaces is one word. A line goes if an equal or near line comes earlier, by (doc id, line number); whether
+that line itself goes does not matter, so the result does not depend on any order of work.
 
 1. Equal lines become one, with their first place (a grouped minimum).
 2. A line can only be near another if both share the first or the last half of their words, for the
@@ -35,7 +36,7 @@ from ..functions._columns import quoted
 from . import words as W
 from .shared import broadcast_if_small, same, schema_of, stored, whole_text
 
-MIN_WORDS, FUZZY_WORDS = 3, 8
+MIN_WORDS, FUZZY_WORDS = 1, 3
 P = W.U64(0x9DDFEA08EB382D69)
 
 

@@ -261,6 +261,14 @@ def test_lines_by_hand(spark, hard):
     assert lines.drop_repeated_lines(hard.limit(0)).count() == 0
 
 
+def test_short_lines_are_repeats_too(spark):
+    texts = ["les.\nand so\n\nall rights reserved\n\u4eca\u65e5\u306f\u5929\u6c17\u304c\u3044\u3044", "Les.\nAND  so\n\nall rights kept\n\u4eca\u65e5\u306f\u5929\u6c17\u304c\u3044\u3044"]
+    texts += ["all rights\nrights reserved all\nall the rights reserved", "mes.\nand on\none two three four five six seven\none two three four five seven"]
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id int, text string")
+    found = {r.doc_id: r.kept_text for r in lines.drop_repeated_lines(df).select("row.doc_id", "kept_text").collect()}
+    assert found == {0: texts[0], 1: "", 2: "all rights\nrights reserved all", 3: "mes.\nand on\none two three four five six seven"}
+
+
 def test_near_is_edit_distance_one():
     def distance(a, b):
         if not a or not b:
