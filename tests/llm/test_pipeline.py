@@ -3,6 +3,7 @@
 import unicodedata
 
 import corpus_pipeline
+import pytest
 from conftest import TESTDATA
 from test_llm_small import HARD, brute_contamination, brute_groups, tokenizer
 
@@ -54,3 +55,14 @@ def test_stages_on_awkward_rows(spark, tmp_path):
                 docs = made
             else:
                 empty = made
+
+
+def test_language_stage_rests_on_the_languages_found(spark):
+    rows = [("a plain text", "en"), ("простой текст", "ru"), ("απλό κείμενο", "el"), ("שלום לכם", "he"), ("plain слова απλάα שלוםם", None), ("a plain text текст", None), ("12", "en")]
+    docs = spark.createDataFrame([(i, *r) for i, r in enumerate(rows)], "doc_id int, text string, lang string")
+    kept = {r.doc_id for r in corpus_pipeline.languages(spark, docs, TESTDATA).collect()}
+    assert kept == {0, 1, 2, 3, 5}
+    unlabelled = docs.withColumn("lang", docs.lang.substr(9, 1)).filter("lang = 'x'")
+    assert corpus_pipeline.languages(spark, unlabelled, TESTDATA).count() == 0
+    with pytest.raises(ValueError):
+        corpus_pipeline.languages(spark, docs.selectExpr("doc_id", "text", "string(null) AS lang"), TESTDATA)
