@@ -38,7 +38,7 @@ from ..functions._columns import quoted
 from . import words as W
 from .components import components
 from .memory import tidy
-from .shared import broadcast_if_small, stored
+from .shared import broadcast_if_small, same, stored, whole_text
 
 BANDS, ROWS, BATCHES, BATCH = 24, 4, 4, 32
 HASHES = BATCHES * BATCH
@@ -351,12 +351,21 @@ def near_groups(
 
 
 def drop_near_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **options) -> DataFrame:
-    """``docs`` with one document of each group: the one with the smallest id. Rows with a null id, and
-    rows that share the id that stays, are kept."""
-    found = near_groups(docs, id_col, text_col, **options)
-    gone = found.filter(~F.col("kept") & F.col(id_col).isNotNull()).select(F.col(id_col).alias("__gone")).distinct()
-    gone = broadcast_if_small(stored(gone, "near-copies"), 16)
-    return docs.join(gone, quoted(id_col) == F.col("__gone"), "left_anti")
+    """``docs`` with one document of each group: the one with the smallest id, null last, and of one id the one
+    with the smallest text hash. Rows of one id and one text are one document; other texts of that id are others."""
+    texts = docs.select(
+        quoted(id_col).alias("doc"), F.xxhash64(whole_text(text_col)).alias("mixed"), quoted(text_col).cast("string").alias("text")
+    )
+    # Numbers that rise with the order of the documents.
+    ordered = texts.select(F.col("doc").alias("__doc"), F.col("mixed").alias("__mixed")).distinct()
+    ordered = ordered.orderBy(F.col("__doc").asc_nulls_last(), "__mixed")
+    numbers = stored(ordered.withColumn("node", F.monotonically_increasing_id()), "numbers")
+    match = same(F.col("doc"), F.col("__doc")) & (F.col("mixed") == F.col("__mixed"))
+    found = near_groups(texts.join(broadcast_if_small(numbers, 64), match).select("node", "text"), "node", "text", **options)
+    gone = found.filter("NOT kept").select("node").distinct()
+    gone = stored(numbers.join(gone, "node").select("__doc", "__mixed"), "near-copies")
+    match = same(quoted(id_col), F.col("__doc")) & (F.xxhash64(whole_text(text_col)) == F.col("__mixed"))
+    return docs.join(broadcast_if_small(gone, 64), match, "left_anti")
 
 
 cloudpickle.register_pickle_by_value(sys.modules[__name__])

@@ -391,6 +391,15 @@ def test_near_groups_hard(spark, hard):
     assert len(rows) == len(HARD)
 
 
+def test_near_copies_go_by_id_and_text(spark):
+    first, clean, other = (" ".join(f"{c}{i}" for i in range(100)) for c in "abc")
+    near = first.rsplit(" ", 1)[0] + " end"
+    rows = [(1, first), (2, near), (2, clean), (None, near + " too"), (None, other), (None, other + " so")]
+    found = [tuple(r) for r in minhash.drop_near_copies(spark.createDataFrame(rows, "doc_id bigint, text string")).collect()]
+    assert (1, first) in found and (2, clean) in found and len(found) == 3
+    assert [r for r in found if r[0] is None] in ([(None, other)], [(None, other + " so")])
+
+
 def test_pruning_bounds():
     least = minhash.least_agreements(0.8, 1e-6)
     assert len(least) == minhash.BATCHES and all(0 < m < 0.8 * n for m, n in zip(least, range(32, 129, 32)))
