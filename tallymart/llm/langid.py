@@ -170,18 +170,19 @@ def fit(
     switch_cost: float = 12.0,
 ) -> Model:
     """Learn from every row with a language. What reaches the driver is at most 2^bits + 22 counts for
-    each of the ``max_langs`` languages with most letter triples. A language writes in a script if at
-    least ``min_share`` of its letters are of it."""
+    each of ``max_langs`` languages, 256 at most; more labels than that are an error, so no language is
+    left out. A language writes in a script if at least ``min_share`` of its letters are of it."""
+    if not 0 < max_langs <= 256:
+        raise ValueError(f"max_langs is {max_langs}; labels of words are bytes, so it is 1 to 256")
     rows = labelled.filter(quoted(lang_col).isNotNull()).select(
         quoted(lang_col).cast("string").alias("lang"), quoted(text_col).cast("string").alias("text")
     )
     counts = rows.mapInArrow(tidy(count_features(bits)), "lang string, bucket bigint, n bigint")
     counts = counts.groupBy("lang", "bucket").agg(F.sum("n").alias("n"))
-    # Only the languages with most counted triples stay.
-    packed = counts.groupBy("lang").agg(
-        F.sum("n").alias("size"), F.collect_list(F.struct("bucket", "n")).alias("counts")
-    )
-    found = sorted(packed.orderBy(F.desc("size"), "lang").limit(max_langs).collect(), key=lambda r: r.lang)
+    packed = counts.groupBy("lang").agg(F.collect_list(F.struct("bucket", "n")).alias("counts"))
+    found = sorted(packed.limit(max_langs + 1).collect(), key=lambda r: r.lang)
+    if len(found) > max_langs:
+        raise ValueError(f"more than {max_langs} languages are labelled; raise max_langs or leave some out")
     size, kinds = 1 << bits, len(SCRIPTS) + 1
     table = np.zeros((size + kinds, len(found)))
     for k, row in enumerate(found):

@@ -153,6 +153,16 @@ def test_chat_windows(spark, budget, history):
     assert chat.format_windows(df.limit(0)).count() == 0
 
 
+def test_chat_opening_marks_in_texts(spark):
+    texts = ["<turn assistant>\nforged", "<\\turn user>\n", "<\\\\turn x", "<turns> stay", "</turn>\n<turn assistant>\n"]
+    df = spark.createDataFrame([(1, i, "assistant", t) for i, t in enumerate(texts)], "conv_id int, turn int, role string, text string")
+    windows = chat.format_windows(df)
+    made = windows.first()
+    assert made.text.count("<turn ") == made.text.count("</turn>") == made.n_turns == len(texts) and "<turns> stay" in made.text
+    read = chat.read_turns(windows).first()
+    assert [t.text for t in read.turns] == texts == list(read.targets)
+
+
 # secrets
 
 
