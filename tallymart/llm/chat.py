@@ -9,8 +9,8 @@ system turn leaves no room. Loss falls on the new turns of the target role alone
 masked, so every target counts once over all windows.
 
 Template: ``<turn ROLE>`` line break, text, ``</turn>`` line break; the role is URL-encoded. Control
-strings inside texts get one more backslash (``</turn>`` becomes ``<\\/turn>``, that becomes
-``<\\\\/turn>``), which is undone by taking one away; other text stays as it is.
+strings inside texts, ``<turn`` with a space and ``</turn>``, get one more backslash (``</turn>`` becomes
+``<\\/turn>``, that becomes ``<\\\\/turn>``), which is undone by taking one away; other text stays as it is.
 
 Prefix sums go by blocks of ``BLOCK`` turn numbers: inside a block over its turns, then over the block
 totals, so no task needs all turns of a long conversation. Turns are ordered by number (null first), role
@@ -32,11 +32,11 @@ MARK_TOKENS = 8  # what the marks around a turn count for
 
 
 def escape(text: Column) -> Column:
-    return F.regexp_replace(text, r"<(\\*)/turn>", r"<\\$1/turn>")
+    return F.regexp_replace(text, r"<(\\*)(turn |/turn>)", r"<\\$1$2")
 
 
 def unescape(text: Column) -> Column:
-    return F.regexp_replace(text, r"<\\(\\*)/turn>", r"<$1/turn>")
+    return F.regexp_replace(text, r"<\\(\\*)(turn |/turn>)", r"<$1$2")
 
 
 def header(role: Column) -> Column:

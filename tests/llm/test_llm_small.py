@@ -213,6 +213,14 @@ def test_secrets_by_hand(spark, hard):
     assert secrets.scan(hard, ratios).count() == len(HARD) and secrets.scan(hard.limit(0), ratios).count() == 0
 
 
+def test_languages_beyond_the_bound_stop_the_fit(spark):
+    rows = spark.createDataFrame([("some text", f"l{i}") for i in range(3)], "text string, lang string")
+    assert len(langid.fit(rows, max_langs=3).langs) == 3
+    for bound in (2, 257):
+        with pytest.raises(ValueError):
+            langid.fit(rows, max_langs=bound)
+
+
 def test_prefix_sums(spark):
     for n in (0, 1, 511, 512, 513, 2000):
         values = [(i * 7) % 11 for i in range(n)]
