@@ -43,7 +43,8 @@ def near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def benchmark_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that hold no ten consecutive words of a benchmark item."""
+    """Documents that hold no ten consecutive words of a benchmark item, and no whole item of fewer than ten: with an
+    item of one or two words, every document that holds these goes."""
     return decontam.drop_contaminated(docs, read_table(spark, sf_dir, "benchmark"))
 
 
