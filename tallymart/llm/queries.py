@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from . import bpe, chat, decontam, exact, langid, lines, lm, minhash, secrets, warc
+from . import bpe, chat, decontam, exact, filteraudit, langid, lines, lm, merkle, minhash, secrets, setjoin, warc
 from .shared import crc_remainder, read_table
 from .sql import SQL
 
@@ -147,6 +147,31 @@ def op10_exact(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact.exact_groups(docs, keep="max")
 
 
+def op11_setjoin(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read_table(spark, sf_dir, "documents").select("doc_id", "text")
+    return setjoin.similar_groups(docs, words=5, percent=80)
+
+
+def op12_filteraudit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read_table(spark, sf_dir, "documents").select("doc_id", "source", "text")
+    labels = read_table(spark, sf_dir, "labels")
+    return filteraudit.audit_documents(docs, labels, filteraudit.text_conditions(), copies="E")
+
+
+MANIFEST_FIELDS = ["doc_id", "source", "lang", "n_chars", "text"]
+
+
+def op13_merkle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read_table(spark, sf_dir, "documents").select(*MANIFEST_FIELDS)
+    changed = F.col("doc_id").isNotNull() & (crc_remainder("doc_id", 7) == 0)
+    n_chars = F.col("n_chars") + F.when(changed, 1).otherwise(0)
+    tampered = merkle.field_digest([n_chars if c == "n_chars" else F.col(c) for c in MANIFEST_FIELDS])
+    found = merkle.manifest(docs, MANIFEST_FIELDS, "lang", "doc_id", {"tampered": tampered})
+    found = found.withColumn("folded_root", merkle.fold(F.col("tampered"), F.col("witness")))
+    proof = merkle.siblings(F.col("witness")).alias("proof_sha256")
+    return found.select("doc_id", "leaf", "subroot", "root", proof, "folded_root", (F.col("folded_root") == F.col("root")).alias("verified"))
+
+
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     import corpus_pipeline
 
@@ -157,7 +182,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
         op1_language, op2_chat, op3_secrets, op4_lines, op5_bpe, op6_minhash, op7_lm, op8_decontamination, op9_warc,
-        op10_exact, pipeline,
+        op10_exact, op11_setjoin, op12_filteraudit, op13_merkle, pipeline,
     )
 }
 
