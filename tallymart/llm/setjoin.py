@@ -35,7 +35,7 @@ from dataclasses import dataclass
 import numpy as np
 import pyarrow as pa
 from pyspark import cloudpickle
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions._columns import quoted
@@ -46,35 +46,55 @@ from .minhash import shingle_sets
 from .shared import broadcast_if_small, same, schema_of, stored, whole_text
 
 SKETCH = 1 << 16  # counters of the member order, whatever the size of the data
-STEP = 300  # texts whose sets are made at once
+STEP = 300  # texts whose sets are made at once, at most 512
+SALTS = 64  # parts of the list of a member that very many sets may hold
 
 
-def count_rows(k: int):
-    """A task over (text): (bucket, n), how many sets of the task hold a member of each bucket."""
+def digest_rows(k: int):
+    """A task over (id, mixed, text): for each row the size and digest of its set, then how many sets of the task
+    hold a member of each bucket."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        hasher, total = W.WordHasher(), np.zeros(SKETCH, np.int64)
+        hasher, total, kinds = W.WordHasher(), np.zeros(SKETCH, np.int64), None
+        names = ["id", "mixed", "size", "set_a", "set_b", "bucket", "n"]
         for batch in batches:
+            kinds = [batch.schema.field(i).type for i in (0, 1)]
             for at in range(0, batch.num_rows, STEP):
-                members, _ = shingle_sets(batch.column(0).slice(at, STEP), k, hasher)
+                part = batch.slice(at, STEP)
+                n = part.num_rows
+                members, of = shingle_sets(part.column(2), k, hasher)
                 total += np.bincount((members & W.U64(SKETCH - 1)).astype(np.int64), minlength=SKETCH)
+                size = np.bincount(of, minlength=n)
+                filled = np.flatnonzero(size)
+                starts = np.concatenate(([0], np.cumsum(size)))[filled]
+                digest = np.zeros((n, 2), W.U64)
+                if len(filled):
+                    digest[filled, 0] = np.add.reduceat(W.mix(members ^ W.U64(0x5BF03635)), starts)
+                    digest[filled, 1] = np.bitwise_xor.reduceat(W.mix(members + W.U64(0x27D4EB2F)), starts)
+                told = [pa.array(size.astype(np.int64)), *[pa.array(digest[:, j].view(np.int64)) for j in (0, 1)]]
+                yield pa.RecordBatch.from_arrays([*part.columns[:2], *told, *[pa.nulls(n, pa.int64())] * 2], names)
         seen = np.flatnonzero(total)
-        yield pa.RecordBatch.from_arrays([pa.array(seen), pa.array(total[seen])], ["bucket", "n"])
+        if len(seen):
+            blank = [pa.nulls(len(seen), kind) for kind in (*kinds, *[pa.int64()] * 3)]
+            yield pa.RecordBatch.from_arrays([*blank, pa.array(seen), pa.array(total[seen])], names)
 
     return run
 
 
-def member_order(texts: DataFrame, k: int) -> np.ndarray:
-    """The counters over all texts. Their number is fixed, so they may pass through the driver."""
-    found = texts.select("text").mapInArrow(tidy(count_rows(k)), "bucket bigint, n bigint")
-    summed = found.groupBy("bucket").agg(F.sum("n").alias("n")).toArrow()
+def bucket_order(counts: DataFrame) -> tuple[np.ndarray, int]:
+    """The place of each bucket, rare ones first, and the first place of those that hold far more than the others.
+    ``counts`` has bucket and n. The number of buckets is fixed, so they may pass through the driver."""
+    summed = counts.groupBy("bucket").agg(F.sum("n").alias("n")).toArrow()
     counters = np.zeros(SKETCH, np.int64)
     counters[summed["bucket"].to_numpy()] = summed["n"].to_numpy()
-    return counters
+    places = np.empty(SKETCH, np.int64)
+    places[np.argsort(counters, kind="stable")] = np.arange(SKETCH)
+    return places.astype(W.U64), int((counters <= 2 * counters.mean() + 1000).sum())
 
 
-def index_rows(k: int, percent: int, counters: np.ndarray):
-    """A task over (id, mixed, text): id, mixed, size and digest of the set, its first members in order."""
+def index_rows(k: int, percent: int, places: np.ndarray, common: int):
+    """A task over (id, mixed, text): id, mixed, the first members of the set in order, and how many of them, at the
+    end, are in buckets from place ``common`` on."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hasher = W.WordHasher()
@@ -84,28 +104,17 @@ def index_rows(k: int, percent: int, counters: np.ndarray):
                 n = part.num_rows
                 members, of = shingle_sets(part.column(2), k, hasher)
                 size = np.bincount(of, minlength=n)
-                filled = np.flatnonzero(size)
-                starts = np.concatenate(([0], np.cumsum(size)))[:-1]
-                digest = np.zeros((n, 2), W.U64)
-                if len(filled):
-                    digest[filled, 0] = np.add.reduceat(W.mix(members ^ W.U64(0x5BF03635)), starts[filled])
-                    digest[filled, 1] = np.bitwise_xor.reduceat(W.mix(members + W.U64(0x27D4EB2F)), starts[filled])
-                order = np.lexsort((members, counters[(members & W.U64(SKETCH - 1)).astype(np.int64)], of))
+                place = places[(members & W.U64(SKETCH - 1)).astype(np.int64)]
+                # One number that sorts by row, place of the bucket, and member.
+                order = np.argsort(of.astype(W.U64) << W.U64(55) | place << W.U64(39) | members >> W.U64(25))
                 # Linked sets share so many members that they share one of these.
                 first = np.where(size > 0, size - (size * percent + 99) // 100 + 1, 0)
-                kept = members[order][np.arange(len(of)) - starts[of] < first[of]]
+                inside = np.arange(len(of)) - np.concatenate(([0], np.cumsum(size)))[:-1][of] < first[of]
+                kept, of = members[order][inside], of[inside]
+                often = np.bincount(of, weights=place[order][inside] >= common, minlength=n).astype(np.int32)
                 offsets = pa.array(np.concatenate(([0], np.cumsum(first))), pa.int32())
-                yield pa.RecordBatch.from_arrays(
-                    [
-                        part.column(0),
-                        part.column(1),
-                        pa.array(size.astype(np.int64)),
-                        pa.array(digest[:, 0].view(np.int64)),
-                        pa.array(digest[:, 1].view(np.int64)),
-                        pa.ListArray.from_arrays(offsets, pa.array(kept.view(np.int64))),
-                    ],
-                    ["id", "mixed", "size", "set_a", "set_b", "prefix"],
-                )
+                lists = pa.ListArray.from_arrays(offsets, pa.array(kept.view(np.int64)))
+                yield pa.RecordBatch.from_arrays([*part.columns[:2], lists, pa.array(often)], ["id", "mixed", "prefix", "often"])
 
     return run
 
@@ -171,13 +180,20 @@ class Sets:
         return stored(out.select("a", "b", "size_a", "size_b", "shared", linked.alias("linked"), *(changes if differences else [])), "shared")
 
 
-def _index(nodes: DataFrame) -> DataFrame:
+def _index(prefixes: DataFrame) -> DataFrame:
     """(member, node, size, rest): the lists that hold more than one set, stored. ``rest`` is how many members
-    two sets can share if this is the first that they do."""
-    rows = nodes.select("node", "size", F.posexplode("prefix").alias("pos", "member"))
-    rows = rows.select("member", "node", F.col("size").cast("int").alias("size"), (F.col("size") - F.col("pos")).cast("int").alias("rest"))
-    lists = rows.groupBy("member").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select("member")
-    return stored(rows.join(lists, "member", "left_semi"), "index")
+    two sets can share if this is the first that they do. ``prefixes`` has node, size, prefix and often.
+
+    Rows meet by member once. Members that may be in very many sets are dealt out over ``SALTS`` parts, whose rows
+    are all kept; of the others, those that are alone go."""
+    rows = prefixes.select("node", "size", "often", F.size("prefix").alias("n"), F.posexplode("prefix").alias("pos", "member"))
+    often = F.col("pos") >= F.col("n") - F.col("often")
+    salt = F.when(often, F.pmod(F.xxhash64("node"), F.lit(SALTS)) + 1).otherwise(0).cast("int").alias("salt")
+    rows = rows.select("member", salt, "node", F.col("size").cast("int").alias("size"), (F.col("size") - F.col("pos")).cast("int").alias("rest"))
+    list_ = Window.partitionBy("member", "salt").orderBy("node")
+    rows = rows.withColumns({"before": F.lag("node").over(list_), "after": F.lead("node").over(list_)})
+    kept = rows.filter("salt > 0 OR before IS NOT NULL OR after IS NOT NULL")
+    return stored(kept.select("member", "node", "size", "rest"), "index")
 
 
 def _size_class(size: Column, percent: int) -> Column:
@@ -270,10 +286,9 @@ def _derived(near: DataFrame, groups: DataFrame, sets: Sets, links: DataFrame) -
     return stored(made.union(pairs.select(F.col("x").alias("a"), F.col("y").alias("b"))), "derived")
 
 
-def _connected(nodes: DataFrame, sets: Sets) -> DataFrame:
+def _connected(index: DataFrame, sets: Sets) -> DataFrame:
     """(node, component) of the nodes that are linked with others."""
     percent = sets.percent
-    index = _index(nodes)
     found = sets.shared(_leaders(index, percent), differences=True)
     groups = _grouped(found.filter("linked"))
     links = found.filter("linked").select("a", "b")
@@ -304,18 +319,21 @@ def similar_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     """One row per row of ``docs``: id, n_shingles, component_id (the smallest id it is linked with, over any
     number of links, itself included)."""
     texts = docs.select(quoted(id_col).alias("id"), F.xxhash64(whole_text(text_col)).alias("mixed"), quoted(text_col).cast("string").alias("text"))
-    counters = member_order(texts, words)
     kinds = {"id": texts.schema["id"].dataType, "mixed": texts.schema["mixed"].dataType}
-    schema = schema_of(kinds, "size bigint, set_a bigint, set_b bigint, prefix array<bigint>")
-    made = stored(texts.mapInArrow(tidy(index_rows(words, percent, counters)), schema), "prefixes")
+    schema = schema_of(kinds, "size bigint, set_a bigint, set_b bigint, bucket bigint, n bigint")
+    made = stored(texts.mapInArrow(tidy(digest_rows(words)), schema), "digests")
+    places, common = bucket_order(made.filter("bucket IS NOT NULL"))
+    made = made.filter("bucket IS NULL")
     key = ["set_a", "set_b", "size"]
-    nodes = made.filter("size > 0").groupBy(*key).agg(
-        F.min("id").alias("least_id"), F.min(F.struct("mixed", "id")).alias("place"), F.first("prefix").alias("prefix")
-    )
-    nodes = nodes.select(F.monotonically_increasing_id().alias("node"), *key, "least_id", "place.id", "place.mixed", "prefix")
-    nodes = stored(nodes, "nodes")
-    sets = Sets(nodes.select("node", "size", "id", "mixed"), texts, words, percent)
-    parts = _connected(nodes.select("node", "size", "prefix"), sets).toDF("node", "part")
+    nodes = made.filter("size > 0").groupBy(*key).agg(F.min("id").alias("least_id"), F.min(F.struct("mixed", "id")).alias("place"))
+    nodes = stored(nodes.select(F.monotonically_increasing_id().alias("node"), *key, "least_id", "place.id", "place.mixed"), "nodes")
+
+    schema = schema_of(kinds, "prefix array<bigint>, often int")
+    prefixes = texts.mapInArrow(tidy(index_rows(words, percent, places, common)), schema)
+    named = broadcast_if_small(nodes.select("node", "size", F.col("id").alias("__id"), F.col("mixed").alias("__mixed")), 64)
+    prefixes = prefixes.join(named, same(F.col("id"), F.col("__id")) & (F.col("mixed") == F.col("__mixed")))
+    index = _index(prefixes.select("node", "size", "prefix", "often"))
+    parts = _connected(index, Sets(nodes, texts, words, percent)).toDF("node", "part")
     placed = nodes.select("node", *key, "least_id").join(parts, "node", "left").withColumn("part", F.coalesce("part", "node"))
     placed = stored(placed, "placed")
     names = placed.groupBy("part").agg(F.min("least_id").alias("component_id"))
