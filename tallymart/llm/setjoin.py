@@ -12,8 +12,10 @@ their sets' Jaccard similarity is ``percent`` / 100 or more.
 2. The index holds the first members of each set, so many that two linked sets have at least one of them in
    common. Members that only one set has are dropped.
 3. Each list of the index is cut into blocks of like size. Every set is compared with the first set of its
-   block, by a hash order that is the same in all lists. Sets that are linked with such a leader, which has no
+   block, by a hash order that is the same in all lists, if they meet in many. Sets that are linked with such a leader, which has no
    leader itself, form its group and keep what they have more and less than the leader.
+   In long lists sets are compared with some that are drawn from the list's largest part, for as long as this links
+   many; it joins large groups whose sets are linked, but not with one leader.
 4. Now a list is a short list of groups, each a block with its least size and its largest rest behind a shared
    member's position. Two blocks are skipped if these rule out every link between them, or if their groups are
    already connected. The leaders of the others are compared.
@@ -47,6 +49,8 @@ from .shared import broadcast_if_small, same, schema_of, stored, whole_text
 
 SKETCH = 1 << 16  # counters of the member order, whatever the size of the data
 STEP = 300  # texts whose sets are made at once, at most 512
+LONG = 256  # sets of a list from which on draws join its parts before they are compared
+DRAWS = 4  # draws for a set in the first turn; each turn has twice as many
 SALTS = 64  # parts of the list of a member that very many sets may hold
 
 
@@ -159,14 +163,16 @@ class Sets:
         places = stored(places.select("node", F.col("id").alias("__id"), F.col("mixed").alias("__mixed")), "places")
         found = self.texts.join(broadcast_if_small(places, 48), same(F.col("id"), F.col("__id")) & (F.col("mixed") == F.col("__mixed")))
         made = found.select("node", "text").mapInArrow(tidy(set_rows(self.words)), "node bigint, members array<bigint>")
+        made = stored(made, "sets")
+        n = made.agg(F.count("node"), F.count_distinct("node")).first()
         # Rows of one id and one text hold the same set.
-        return stored(made, "sets").dropDuplicates(["node"])
+        return made if n[0] == n[1] else made.dropDuplicates(["node"])
 
     def shared(self, pairs: DataFrame, differences: bool = False) -> DataFrame:
         """Pairs (a, b) with both sizes and the number of shared members; of linked pairs, if asked for, what
         ``b`` has ``more`` and ``less`` than ``a``. Stored."""
         pairs = stored(pairs, "pairs")
-        sets = stored(self.whole(pairs.select(F.col("a").alias("node")).union(pairs.select("b"))), "whole-sets")
+        sets = self.whole(pairs.select(F.col("a").alias("node")).union(pairs.select("b")))
         both = pairs.join(sets.toDF("a", "set_a"), "a").join(sets.toDF("b", "set_b"), "b")
         out = both.select(
             "a", "b", F.size("set_a").cast("bigint").alias("size_a"), F.size("set_b").cast("bigint").alias("size_b"),
@@ -203,12 +209,48 @@ def _size_class(size: Column, percent: int) -> Column:
 
 
 def _leaders(index: DataFrame, percent: int) -> DataFrame:
-    """Pairs (a, b): each set and the first set of its block of a list, by a hash order."""
+    """Pairs (a, b): each set and the first set of its block of a list, by a hash order, if they meet in at least
+    half of the lists that linked sets of their size can have in common."""
     rows = index.withColumn("class", _size_class(F.col("size"), percent))
-    first = rows.groupBy("member", "class").agg(F.min_by(F.struct("node", "size", "rest"), F.xxhash64("node")).alias("head"), F.count(F.lit(1)).alias("n"))
+    first = rows.groupBy("member", "class").agg(F.min_by(F.struct("node", "size"), F.xxhash64("node")).alias("head"), F.count(F.lit(1)).alias("n"))
     rows = rows.join(first.filter("n > 1").drop("n"), ["member", "class"]).filter(F.col("node") != F.col("head.node"))
-    near = _enough(F.least("rest", "head.rest"), F.col("size") + F.col("head.size"), percent)
-    return rows.filter(near).select(F.col("head.node").alias("a"), F.col("node").alias("b")).distinct()
+    least = F.least("size", "head.size")
+    met = rows.groupBy(F.col("head.node").alias("a"), F.col("node").alias("b")).agg(F.count(F.lit(1)).alias("n"), F.first(least).alias("least"))
+    return met.filter(F.col("n") * 200 >= F.col("least") * (100 - percent)).select("a", "b")
+
+
+def _drawn(long: DataFrame, connected: DataFrame, percent: int, turn: int) -> DataFrame:
+    """Pairs (a, b): sets of long lists, and members of other parts drawn from the largest part of their lists,
+    a few for each. Other turns draw others, and more."""
+    rows = long.join(connected.toDF("node", "part"), "node", "left").withColumn("part", F.coalesce("part", "node"))
+    rows = stored(rows, "long-parts")
+    one = F.min_by(F.struct("node", "size", "rest"), F.xxhash64("node", "member", F.lit(turn))).alias("head")
+    parts = rows.groupBy("member", "part").agg(F.count(F.lit(1)).alias("n"), one)
+    main = parts.groupBy("member").agg(F.max_by(F.struct("part", "head"), F.struct("n", "part")).alias("main"), F.count(F.lit(1)).alias("parts"))
+    rows = rows.join(main.filter("parts > 1").select("member", "main.part", "main.head").toDF("member", "main", "head"), "member")
+    near = F.least("size", "head.size") * 100 >= F.greatest("size", "head.size") * percent
+    placed = _enough(F.least("rest", "head.rest"), F.col("size") + F.col("head.size"), percent)
+    pairs = rows.filter((F.col("part") != F.col("main")) & near & placed).select(F.col("head.node").alias("a"), F.col("node").alias("b")).distinct()
+    draw = F.row_number().over(Window.partitionBy("b").orderBy(F.xxhash64("a", F.lit(turn))))
+    return pairs.withColumn("draw", draw).filter(F.col("draw") <= DRAWS << turn - 1).select("a", "b")
+
+
+def _joined_by_draws(index: DataFrame, sets: Sets, links: DataFrame) -> DataFrame:
+    """(node, component) after the links (a, b) and those that turns of draws find in long lists, stored. It goes on
+    while many draws are links, which joins large groups; it need not find all."""
+    connected = stored(components(links), "connected")
+    lists = index.groupBy("member").agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") > LONG).select("member")
+    long = stored(index.join(lists, "member"), "long")
+    turn = 0
+    while not long.isEmpty():
+        turn += 1
+        found = sets.shared(_drawn(long, connected, sets.percent, turn))
+        compared, linked = found.agg(F.count(F.lit(1)), F.count_if("linked")).first()
+        if linked:
+            connected = stored(components(found.filter("linked").select("a", "b").union(connected.toDF("a", "b"))), "connected")
+        if linked * 20 < compared or not compared:
+            break
+    return connected
 
 
 def _grouped(links: DataFrame) -> DataFrame:
@@ -223,10 +265,13 @@ def _grouped(links: DataFrame) -> DataFrame:
 
 
 def _blocks(index: DataFrame, groups: DataFrame, connected: DataFrame) -> DataFrame:
-    """(member, leader, part, least, most, rest) of the groups in lists that are not yet all in one part, stored."""
+    """(member, leader, part, least, most, rest, group) of the groups in lists that are not yet all in one part, stored."""
     named = index.join(groups.select(F.col("b").alias("node"), F.col("a").alias("leader")), "node", "left")
-    named = named.withColumn("leader", F.coalesce("leader", "node"))
-    blocks = named.groupBy("member", "leader").agg(F.min("size").alias("least"), F.max("size").alias("most"), F.max("rest").alias("rest"))
+    named = named.join(groups.select(F.col("a").alias("node")).distinct().withColumn("leads", F.lit(True)), "node", "left")
+    named = named.withColumns({"leader": F.coalesce("leader", "node"), "group": F.col("leader").isNotNull() | F.col("leads").isNotNull()})
+    blocks = named.groupBy("member", "leader").agg(
+        F.min("size").alias("least"), F.max("size").alias("most"), F.max("rest").alias("rest"), F.bool_or("group").alias("group")
+    )
     blocks = blocks.join(connected.toDF("leader", "part"), "leader", "left").withColumn("part", F.coalesce("part", "leader"))
     blocks = stored(blocks, "all-blocks")
     mixed = blocks.groupBy("member").agg(F.min("part").alias("low"), F.max("part").alias("high")).filter("low < high")
@@ -234,18 +279,23 @@ def _blocks(index: DataFrame, groups: DataFrame, connected: DataFrame) -> DataFr
 
 
 def _open_blocks(blocks: DataFrame, percent: int) -> DataFrame:
-    """Pairs (a, b), in hash order, of leaders whose groups are not connected and may hold a link, by some list. Blocks meet only
-    in lists of one member and of one class of size, or the next."""
+    """Pairs (a, b), in hash order, of leaders whose groups are not connected and may hold a link. Blocks meet only in
+    lists of one member and of one class of size or two that follow each other. Two sets that are no groups share
+    their common lists and what is behind the last of these, at most."""
     low, high = (_size_class(F.col(c), percent) for c in ("least", "most"))
-    left = blocks.withColumn("class", F.explode(F.sequence(low, high + 1)))
-    right = blocks.withColumn("class", F.explode(F.sequence(low, high + 1)))
-    left, right = (side.select("member", "class", *[F.col(c).alias(f"{c}_{name}") for c in ("leader", "part", "least", "most", "rest")])
-                   for side, name in ((left, "a"), (right, "b")))
+    names = ("leader", "part", "least", "most", "rest", "group")
+    left = blocks.withColumn("class", F.explode(F.sequence(low, high))).select("member", "class", *[F.col(c).alias(f"{c}_a") for c in names])
+    right = blocks.withColumn("class", F.explode(F.sequence(low - 1, high + 1))).select("member", "class", *[F.col(c).alias(f"{c}_b") for c in names])
     apart = (F.col("part_a") != F.col("part_b")) & (F.xxhash64("leader_a") < F.xxhash64("leader_b"))
     sized = (F.col("most_a") * 100 >= F.col("least_b") * percent) & (F.col("most_b") * 100 >= F.col("least_a") * percent)
-    placed = _enough(F.least("rest_a", "rest_b"), F.col("least_a") + F.col("least_b"), percent)
     key = (left["member"] == right["member"]) & (left["class"] == right["class"])
-    return left.join(right, key & apart & sized & placed).select(F.col("leader_a").alias("a"), F.col("leader_b").alias("b")).distinct()
+    rest, sizes = F.least("rest_a", "rest_b"), F.col("least_a") + F.col("least_b")
+    met = left.join(right, key & apart & sized).groupBy(F.col("leader_a").alias("a"), F.col("leader_b").alias("b")).agg(
+        F.count(F.lit(1)).alias("n"), F.min(rest).alias("behind"), F.min(sizes).alias("sizes"),
+        F.bool_or(F.col("group_a") | F.col("group_b")).alias("groups"), F.bool_or(_enough(rest, sizes, percent)).alias("placed"),
+    )
+    enough = F.col("groups") | _enough(F.col("n") + F.col("behind") - 1, F.col("sizes"), percent)
+    return met.filter(F.col("placed") & enough).select("a", "b")
 
 
 def _derived(near: DataFrame, groups: DataFrame, sets: Sets, links: DataFrame) -> DataFrame:
@@ -292,14 +342,14 @@ def _connected(index: DataFrame, sets: Sets) -> DataFrame:
     found = sets.shared(_leaders(index, percent), differences=True)
     groups = _grouped(found.filter("linked"))
     links = found.filter("linked").select("a", "b")
-    connected = stored(components(links), "connected")
+    connected = _joined_by_draws(index, sets, links)
     todo = stored(_open_blocks(_blocks(index, groups, connected), percent), "open")
     if todo.isEmpty():
         return connected
     # Leaders that were compared before are not compared again.
     fresh = sets.shared(todo.join(found.select("a", "b"), ["a", "b"], "left_anti"))
     compared = found.select(*fresh.columns).join(todo, ["a", "b"], "left_semi").union(fresh)
-    links = stored(links.union(fresh.filter("linked").select("a", "b")), "links")
+    links = stored(connected.toDF("a", "b").union(fresh.filter("linked").select("a", "b")), "links")
     # How many members a group's sets have more than their leader, and the least of their sizes.
     reach = groups.groupBy("a").agg(F.max(F.size("more")).alias("reach"), F.min("size_b").alias("least"))
     near = compared.filter("NOT linked")
