@@ -7,8 +7,8 @@ suffixes of the prefix: the one that fits the last token of the prefix before it
 merge across their border would come before the merges that make them. Following these last tokens back
 from the end of the word gives the ids, without replaying the merges.
 
-Null and empty texts have no ids. Each worker keeps the ids of words it has met, in two generations of
-bounded size, so memory does not grow with the text.
+Null and empty texts have no ids. Each worker keeps the ids of words it has met, in two generations of at most
+``KNOWN_BYTES``, and the outcome of ``KNOWN_TESTS`` pair tests, so memory does not grow with the text.
 """
 
 from __future__ import annotations
@@ -23,6 +23,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import cloudpickle
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -31,8 +32,12 @@ from ..functions._columns import quoted
 from .memory import tidy
 from .shared import schema_of
 
+KNOWN_BYTES = 12 << 20
+KNOWN_TESTS = 200_000
+WORD_BYTES = 320  # what a known word takes beside its letters, ids and decoded tokens
 NEVER = 1 << 60
 NEAR = 0x250
+STEP = 200  # texts encoded at once
 FINAL = 0x10000  # added to the last character of a word, in place of the end-of-word mark
 
 # What the vocabulary files of this kind declare, beside vocabulary, merges and patterns.
@@ -130,7 +135,7 @@ class Vocabulary:
                     i += 1
                 else:
                     j += 1
-            if len(self.fits_known) > 1_000_000:
+            if len(self.fits_known) >= KNOWN_TESTS:
                 self.fits_known.clear()
             self.fits_known[key] = known
         return known
@@ -190,34 +195,38 @@ class Vocabulary:
         return [text[a:b] for _, (a, b) in self.library.pre_tokenizer.pre_tokenize_str(text)]
 
     def encode(self, text: str) -> tuple[np.ndarray, str]:
-        """Ids of a text and the text decoded from them. Added tokens are found in the raw text first."""
+        """Ids of a text and the text decoded from them."""
+        ids = self.text_ids(text)
+        return ids, self.decode(ids.tolist())
+
+    def text_ids(self, text: str) -> np.ndarray:
+        """Ids of a text. Added tokens are found in the raw text first."""
         found, at = [], 0
         for hit in self.find_added.finditer(text) if self.find_added and "<" in text else ():
             found += map(self.known.__getitem__, self.words(text[at : hit.start()]))
-            i = self.added[hit.group()]
-            found.append((np.int32(i).tobytes(), self.decode([i])))
+            found.append(np.int32(self.added[hit.group()]).tobytes())
             at = hit.end()
         found += map(self.known.__getitem__, self.words(text[at:] if at else text))
-        ids = np.frombuffer(b"".join([f[0] for f in found]), np.int32)
-        return ids, " ".join([f[1] for f in found])
+        return np.frombuffer(b"".join(found), np.int32)
 
 
 class KnownWords(dict):
-    """Word to (its ids as bytes, its decoded tokens); words met lately stay, in two generations."""
+    """Word to its ids as bytes; words met lately stay, in two generations of bounded size."""
 
-    def __init__(self, vocabulary: Vocabulary, most: int = 200_000, longest: int = 200) -> None:
-        self.vocabulary, self.most, self.longest, self.older = vocabulary, most, longest, {}
+    def __init__(self, vocabulary: Vocabulary, most: int = KNOWN_BYTES) -> None:
+        self.vocabulary, self.most, self.size, self.older = vocabulary, most, 0, {}
 
-    def __missing__(self, word: str) -> tuple[bytes, str]:
+    def __missing__(self, word: str) -> bytes:
         found = self.older.get(word)
         if found is None:
-            ids = self.vocabulary.encode_word(word)
-            found = np.array(ids, np.int32).tobytes(), self.vocabulary.decode(ids)
-        if len(word) <= self.longest:
-            if len(self) >= self.most:
-                self.older = dict(self)
+            found = np.array(self.vocabulary.encode_word(word), np.int32).tobytes()
+        size = WORD_BYTES + len(word) + len(found)
+        if size <= self.most >> 4:
+            if self.size + size > self.most:
+                self.older, self.size = dict(self), 0
                 self.clear()
             self[word] = found
+            self.size += size
         return found
 
 
@@ -232,20 +241,22 @@ def worker_vocabulary(source: str) -> Vocabulary:
     return kept["vocabulary"]
 
 
-def encode_rows(source: str, with_decoded: bool):
-    """A task over (…, text last): the other columns, then ids and, if asked for, the decoded text."""
+def encode_rows(source: str, with_decoded: bool, text_at: int | None = None):
+    """A task over (row, text), or over (row) with the text at place ``text_at`` of the row: row, then ids and, if
+    asked for, the decoded text."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         vocabulary = worker_vocabulary(source)
         for batch in batches:
-            for at in range(0, batch.num_rows, 500):
-                part = batch.slice(at, 500)
-                flat, decoded = zip(*[vocabulary.encode(t or "") for t in part.column(part.num_columns - 1).to_pylist()])
+            for at in range(0, batch.num_rows, STEP):
+                part = batch.slice(at, STEP)
+                row = part.column(0)
+                text = part.column(1) if text_at is None else pc.struct_field(row, [text_at])
+                flat = [vocabulary.text_ids(t or "") for t in text.to_pylist()]
                 offsets = pa.array(np.concatenate(([0], np.cumsum([len(x) for x in flat]))), pa.int32())
-                out = pa.ListArray.from_arrays(offsets, pa.array(np.concatenate(flat)))
-                columns, names = [*part.columns[:-1], out], [*part.schema.names[:-1], "ids"]
+                columns, names = [row, pa.ListArray.from_arrays(offsets, pa.array(np.concatenate(flat)))], ["row", "ids"]
                 if with_decoded:
-                    columns, names = [*columns, pa.array(decoded, pa.string())], [*names, "decoded"]
+                    columns, names = [*columns, pa.array([vocabulary.decode(x.tolist()) for x in flat], pa.string())], [*names, "decoded"]
                 yield pa.RecordBatch.from_arrays(columns, names)
 
     return run
@@ -260,10 +271,13 @@ def read_vocabulary(path: str) -> str:
 def encode(docs: DataFrame, vocabulary: str, text_col: str = "text", with_decoded: bool = False, with_text: bool = False) -> DataFrame:
     """(row, ids[, decoded]): ``row`` holds the columns of ``docs`` (the text only ``with_text``), ids the
     token ids of the whole text, decoded the text read back from them."""
-    rest = F.struct(*[quoted(c) for c in docs.columns if with_text or c != text_col])
-    rows = docs.select(rest.alias("row"), quoted(text_col).cast("string").alias("text"))
+    text = quoted(text_col).cast("string")
+    rest = [text.alias(c) if c == text_col else quoted(c) for c in docs.columns if with_text or c != text_col]
+    # The text goes to the tasks once: in the row if that holds it, else beside it.
+    rows = docs.select(F.struct(*rest).alias("row"), *([] if with_text else [text.alias("text")]))
     schema = schema_of({"row": rows.schema["row"].dataType}, "ids array<int>" + ", decoded string" * with_decoded)
-    return rows.mapInArrow(tidy(encode_rows(vocabulary, with_decoded)), schema)
+    text_at = docs.columns.index(text_col) if with_text else None
+    return rows.mapInArrow(tidy(encode_rows(vocabulary, with_decoded, text_at)), schema)
 
 
 def decode(rows: DataFrame, vocabulary: str, ids_col: str = "ids", name: str = "decoded") -> DataFrame:
