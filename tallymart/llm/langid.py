@@ -10,8 +10,8 @@ and Viterbi with a price for each switch of language labels the words; runs of o
 
 A text's language is the one with most letters in its spans; its score is that share of the letters.
 Null, empty and letterless texts have no span, the language ``und`` and score 0. A word in a script no
-language was learned in leaves every language open. Texts are read whole: a long one is cut at
-characters that are no letters, and Viterbi runs over all its words.
+language was learned in leaves every language open. Texts are read whole: a long one is looked at in
+pieces that end between words, however long a word is, and Viterbi runs over all its words.
 """
 
 from __future__ import annotations
@@ -24,7 +24,7 @@ from dataclasses import dataclass
 import numpy as np
 import pyarrow as pa
 from pyspark import cloudpickle
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions._columns import quoted
@@ -114,19 +114,35 @@ class Reader:
         return rows, starts - begins[rows], ends - begins[rows], count, self.script[points[starts]], hashed[index], firsts
 
 
+def in_word(c: str) -> bool:
+    return c.isalpha() or unicodedata.category(c)[0] == "M"
+
+
+def cut(text: str, at: int) -> int:
+    """Where a piece of about PIECE characters from ``at`` on ends: before it comes a character that no word holds. A
+    word that is longer than that stays whole."""
+    end = at + PIECE
+    if end >= len(text):
+        return len(text)
+    while end > at and in_word(text[end - 1]):
+        end -= 1
+    if end == at:
+        end = at + PIECE
+        while end < len(text) and in_word(text[end]):
+            end += 1
+    return end
+
+
 def pieces(texts: list[str]) -> Iterator[tuple[list[int], list[int], list[str]]]:
-    """Groups of about PIECE characters: row and offset of each piece, and the pieces. Long texts are
-    cut after a space or line break, or at PIECE if there is none."""
+    """Groups of about PIECE characters: row and offset of each piece, and the pieces. Long texts are cut between
+    words."""
     rows, offsets, parts, size = [], [], [], 0
     for row, text in enumerate(texts):
         at = 0
         while at < len(text):
-            end = at + PIECE
-            if end < len(text):
-                end = max(text.rfind(" ", at, end), text.rfind("\n", at, end)) + 1 or end
-            part = text[at:end]
-            rows.append(row), offsets.append(at), parts.append(part)
-            size += len(part)
+            end = cut(text, at)
+            rows.append(row), offsets.append(at), parts.append(text[at:end])
+            size += end - at
             at = end
             if size >= PIECE:
                 yield rows, offsets, parts
@@ -160,6 +176,11 @@ def count_features(bits: int):
     return run
 
 
+def packed_numbers(numbers: Column) -> Column:
+    """An array of whole numbers, not negative, as eight bytes each, the highest first."""
+    return F.unhex(F.array_join(F.transform(numbers, lambda x: F.lpad(F.hex(x), 16, "0")), ""))
+
+
 def fit(
     labelled: DataFrame,
     text_col: str = "text",
@@ -179,15 +200,17 @@ def fit(
     )
     counts = rows.mapInArrow(tidy(count_features(bits)), "lang string, bucket bigint, n bigint")
     counts = counts.groupBy("lang", "bucket").agg(F.sum("n").alias("n"))
-    packed = counts.groupBy("lang").agg(F.collect_list(F.struct("bucket", "n")).alias("counts"))
-    found = sorted(packed.limit(max_langs + 1).collect(), key=lambda r: r.lang)
+    # A language's counts reach the driver as two binaries, of eight bytes a count each.
+    pairs = F.array_sort(F.collect_list(F.struct("bucket", "n")))
+    packed = counts.groupBy("lang").agg(pairs.alias("counts"))
+    columns = [packed_numbers(F.col(f"counts.{c}")).alias(c) for c in ("bucket", "n")]
+    found = sorted(packed.select("lang", *columns).limit(max_langs + 1).collect(), key=lambda r: r.lang)
     if len(found) > max_langs:
         raise ValueError(f"more than {max_langs} languages are labelled; raise max_langs or leave some out")
     size, kinds = 1 << bits, len(SCRIPTS) + 1
     table = np.zeros((size + kinds, len(found)))
     for k, row in enumerate(found):
-        pairs = np.array([(c.bucket, c.n) for c in row.counts], np.int64)
-        table[pairs[:, 0], k] = pairs[:, 1]
+        table[np.frombuffer(row.bucket, ">i8"), k] = np.frombuffer(row.n, ">i8")
     triples, letters = table[:size], table[size:]
     weights = np.log((triples + 0.5) / (triples.sum(0) + 0.5 * size)).astype(np.float32)
     share = letters / np.maximum(letters.sum(0), 1)
