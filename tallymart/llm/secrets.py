@@ -82,9 +82,11 @@ def base_spans(docs: DataFrame) -> DataFrame:
 
 
 def steps(token: str) -> str:
-    """SQL: for each neighbouring pair of ASCII characters of ``token``, 128 * first + second."""
-    pair = f"ascii(substr({token}, i, 1)) * 128 + ascii(substr({token}, i + 1, 1))"
-    return f"transform(sequence(1, char_length({token}) - 1), i -> {pair})"
+    """SQL: for each neighbouring pair of ASCII characters of ``token``, 128 * first + second. The token is split
+    once and its characters meet their followers, so a long one costs no more a character than a short one."""
+    codes = f"transform(split({token}, ''), c -> ascii(c))"
+    pairs = "zip_with(slice(codes, 1, size(codes) - 1), slice(codes, 2, size(codes) - 1), (a, b) -> a * 128 + b)"
+    return f"transform(array({codes}), codes -> {pairs})[0]"
 
 
 def fit(samples: DataFrame, text_col: str = "text", random_col: str = "is_random") -> np.ndarray:

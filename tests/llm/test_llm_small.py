@@ -8,6 +8,7 @@ import re
 import zlib
 from collections import Counter
 
+import numpy as np
 import pytest
 from conftest import TESTDATA
 from oracle import compare, connect
@@ -580,3 +581,56 @@ def test_exact_groups(spark, hard):
     assert kept.columns == hard.columns and kept.count() == 7
     assert {r.text for r in kept.collect()} <= {t for _, t, _ in HARD}
     assert exact.exact_groups(hard.limit(0)).count() == exact.drop_copies(hard.limit(0)).count() == 0
+
+
+def test_a_word_longer_than_a_piece_is_one_word(spark):
+    rows = [("aaab " * 20, "x"), ("bbba " * 20, "y")]
+    model = langid.fit(spark.createDataFrame(rows, "text string, lang string"), switch_cost=2.0)
+    long = "ab" * (langid.PIECE // 2 + 5)
+    texts = [long, long[:-3] + "! " + "b" * 10, "ж" * (langid.PIECE + 7), "- " * langid.PIECE + "aab"]
+    reader = langid.Reader(18)
+    for text in texts:
+        found = [(s + o, e + o) for _, offsets, parts in langid.pieces([text]) for p, s, e in zip(*reader.words(parts)[:3]) for o in [offsets[p]]]
+        assert found == [(m.start(), m.end()) for m in re.finditer(r"[^\W\d_]+", text)]
+    made = langid.label_spans(spark.createDataFrame([(long,)], "text string"), model).first()
+    assert [(s.start, s.end) for s in made.spans] == [(0, len(long))]
+
+
+def test_counts_reach_the_driver_packed(spark):
+    rows = spark.createDataFrame([([0, 1, 255, 2**40],), ([],)], "x array<bigint>")
+    found = [r[0] for r in rows.select(langid.packed_numbers(F.col("x"))).collect()]
+    assert [int.from_bytes(found[0][i : i + 8]) for i in range(0, 32, 8)] == [0, 1, 255, 2**40] and len(found[1] or b"") == 0
+
+
+def test_a_long_token_costs_no_more_a_character(spark):
+    import time
+
+    ratios = secrets.fit(spark.createDataFrame([("x7Gq9Zk2", True), ("ordinary", False)], "text string, is_random boolean"))
+    rng = random.Random(4)
+    long = "".join(rng.choice("abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNOPQRSTUVWXYZ0123456789+/") for _ in range(1 << 20))
+    docs = spark.createDataFrame([(1, long)], "doc_id int, text string")
+    began = time.time()
+    found = secrets.scan(docs, ratios, threshold=-100.0).collect()
+    assert time.time() - began < 60
+    assert [(s.start, s.end) for s in found[0].spans if s.kind == 3] == [(0, len(long))]
+    pairs = spark.range(1).selectExpr(f"{secrets.steps(repr('ab+'))} AS s").first().s
+    assert pairs == [ord("a") * 128 + ord("b"), ord("b") * 128 + ord("+")]
+
+
+def test_known_words_are_bounded():
+    vocabulary = bpe.Vocabulary(bpe.read_vocabulary(public_vocabulary()))
+    known = bpe.KnownWords(vocabulary, most=40_000)
+    for i in range(2000):
+        word = f"w{i}"
+        assert np.frombuffer(known[word], np.int32).tolist() == vocabulary.encode_word(word)
+        assert known.size <= 40_000 and len(known) * bpe.WORD_BYTES <= 40_000
+    known["x" * 5000]
+    assert "x" * 5000 not in known
+
+
+def test_text_goes_with_the_row(spark, hard):
+    source = bpe.read_vocabulary(public_vocabulary())
+    apart = bpe.encode(hard, source).select("row.doc_id", "ids").collect()
+    inside = bpe.encode(hard, source, with_text=True).select("row.doc_id", "row.text", "ids", "row.body").collect()
+    assert [(r.doc_id, r.ids) for r in apart] == [(r.doc_id, r.ids) for r in inside]
+    assert [r.text for r in inside] == [t for _, t, _ in HARD]
