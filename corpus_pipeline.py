@@ -7,6 +7,8 @@ no language and go in the first stage, as do jumbles of languages; ids may be nu
 
 from __future__ import annotations
 
+import functools
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -56,12 +58,30 @@ def token_ids(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return found.select("row.*", F.col("ids").alias("token_ids"), F.size("ids").cast("bigint").alias("n_tokens"))
 
 
+# Rows of a batch that goes to Python and back. Texts are long: of Spark's 10,000 rows a task would hold some
+# hundred megabytes beside its work.
+BATCH_ROWS = "1000"
+
+
+def small_batches(stage):
+    """``stage``, with batches of ``BATCH_ROWS`` from now on, unless the session has set another number."""
+
+    @functools.wraps(stage)
+    def run(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+        name = "spark.sql.execution.arrow.maxRecordsPerBatch"
+        if spark.conf.get(name) == "10000":
+            spark.conf.set(name, BATCH_ROWS)
+        return stage(spark, docs, sf_dir)
+
+    return run
+
+
 STAGES = [
-    ("language", languages),
-    ("exact_dedup", exact_copies),
-    ("near_dedup", near_copies),
-    ("decontamination", benchmark_passages),
-    ("bpe", token_ids),
+    ("language", small_batches(languages)),
+    ("exact_dedup", small_batches(exact_copies)),
+    ("near_dedup", small_batches(near_copies)),
+    ("decontamination", small_batches(benchmark_passages)),
+    ("bpe", small_batches(token_ids)),
 ]
 
 
