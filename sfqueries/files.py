@@ -83,6 +83,24 @@ def csv_round_trip(spark, sf_dir):
     return back.withColumn("has_source", F.col("source_file").endswith(".csv")).drop("source_file")
 
 
+@query(
+    "csv_line_breaks",
+    "S5 S10",
+    """SELECT doc_id, lang, sha256(t) AS text_sha256, CAST(length(t) AS BIGINT) AS text_length
+FROM (SELECT doc_id, lang, nullif(nullif(trim(text), ''), 'NA') AS t FROM documents)""",
+)
+def csv_line_breaks(spark, sf_dir):
+    """Texts with line breaks and quotes inside, written as CSV by language and read back."""
+    stage = f"{new_stage(spark, 'breaks')}/texts"
+    texts = table(spark, sf_dir, "documents").select("doc_id", "text", "lang", F.col("lang").alias("folder"))
+    write_csv(texts, stage, ["folder"])
+    schema = T.StructType().add("doc_id", "long").add("text", "string").add("lang", "string")
+    back = read_csv(spark, stage, schema, lineage=None)
+    return back.select(
+        "doc_id", "lang", F.sha2(F.col("text").cast("binary"), 256).alias("text_sha256"), F.length("text").cast("bigint").alias("text_length")
+    )
+
+
 _GUESSED = {
     "o_orderkey": ("numeric", "o_orderkey"),
     "o_custkey": ("numeric", "nullif(o_custkey, 7)"),

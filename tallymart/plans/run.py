@@ -15,6 +15,7 @@ from tallymart.plans import contracts as C
 from tallymart.plans import emergency, model, waiting
 from tallymart.sources import (
     export_check,
+    file_manifest,
     new_stage,
     read_csv,
     read_headers,
@@ -40,8 +41,9 @@ def stage_waiting(spark: SparkSession, raw_archives: str) -> tuple[DataFrame, Da
     """
     stage = new_stage(spark, "waiting")
     folder = unpack_archives(spark, raw_archives, f"{stage}/unzip")
-    rows = read_csv(spark, folder, C.WAITING_SCHEMA, clean=True, keep_extra=True)
-    return save_table(rows, f"{stage}/rows"), read_headers(spark, folder)
+    manifest = file_manifest(spark, folder)
+    rows = read_csv(spark, folder, C.WAITING_SCHEMA, clean=True, keep_extra=True, manifest=manifest)
+    return save_table(rows, f"{stage}/rows"), read_headers(spark, folder, manifest=manifest)
 
 
 def build_model(raw_emergency: DataFrame, raw_waiting: DataFrame, out: str) -> dict[str, DataFrame]:

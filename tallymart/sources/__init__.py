@@ -1,6 +1,8 @@
 from .archives import read_zip_csv, unpack_archives, zip_catalogue
 from .files import (
     column_counts,
+    file_manifest,
+    files_with_breaks,
     list_sources,
     read_csv,
     read_headers,
@@ -12,6 +14,8 @@ from .staging import new_stage
 
 __all__ = [
     "column_counts",
+    "file_manifest",
+    "files_with_breaks",
     "export_check",
     "list_sources",
     "literal_table",

@@ -7,10 +7,11 @@ import zipfile
 
 import pytest
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tallymart.functions import row_sum
 from tallymart.operators import band_reconciliation, exact_duplicates, published_total_check, rank_within
-from tallymart.sources import _tasks, export_check, read_csv, read_zip_csv, write_csv
+from tallymart.sources import _tasks, export_check, file_manifest, files_with_breaks, read_csv, read_headers, read_zip_csv, write_csv
 
 
 def test_fractions_are_not_cut(spark):
@@ -67,10 +68,48 @@ def test_padded_text_and_folder_names(spark, tmp_path):
 def test_more_than_500_layouts(spark, tmp_path):
     for i in range(505):
         (tmp_path / f"f{i}.csv").write_text(f"k,extra_{i}\n{i},x\n")
-    from pyspark.sql import types as T
-
     rows = read_csv(spark, str(tmp_path), T.StructType().add("k", "integer"), lineage=None)
-    assert len(rows.columns) == 1 and rows.limit(3).count() == 3
+    assert sorted(r.k for r in rows.collect()) == list(range(505)) and rows.columns == ["k"]
+
+
+def test_one_scan_for_many_layouts(spark, tmp_path):
+    """Each file orders its columns in its own way; the plan has one scan and all cells are found."""
+    import itertools
+
+    for i, order in enumerate(itertools.permutations("abcde")):
+        (tmp_path / f"f {i}.csv").write_text(",".join(order) + "\n" + ",".join(f"{c}{i}" for c in order) + "\n")
+    rows = read_csv(spark, str(tmp_path))
+    assert rows._jdf.queryExecution().optimizedPlan().toString().count("Relation") <= 2
+    found = {tuple(r[c] for c in "abcde") + (r.source_file,) for r in rows.collect()}
+    assert found == {tuple(f"{c}{i}" for c in "abcde") + (f"f {i}.csv",) for i in range(120)}
+
+
+def test_quoted_line_breaks(spark, tmp_path):
+    (tmp_path / "plain.csv").write_text('k,t\n1,"a ""b"" c"\n2,d\n')
+    (tmp_path / "breaks.csv").write_text('k,t\n3,"x\ny"\n4,"\n""z"",\n"\n5,e\n')
+    (tmp_path / "other.csv").write_text('t,k\n"u\n\nv",6\n')
+    rows = {(r.k, r.t, r.source_file) for r in read_csv(spark, str(tmp_path)).collect()}
+    assert rows == {
+        ("1", 'a "b" c', "plain.csv"), ("2", "d", "plain.csv"), ("3", "x\ny", "breaks.csv"), ("4", '\n"z",\n', "breaks.csv"),
+        ("5", "e", "breaks.csv"), ("6", "u\n\nv", "other.csv"),
+    }
+    found = files_with_breaks(spark, str(tmp_path)).collect()
+    assert sorted(os.path.basename(r.path) for r in found) == ["breaks.csv", "other.csv"]
+
+
+def test_counts_written_as_doubles(spark, tmp_path):
+    (tmp_path / "a.csv").write_text("k\n12.0\n1e3\n7\n-0.0\nNA\n 5 \n")
+    schema = T.StructType().add("k", "long")
+    assert [r.k for r in read_csv(spark, str(tmp_path), schema, lineage=None).collect()] == [12, 1000, 7, 0, None, 5]
+
+
+def test_a_header_is_read_once(spark, tmp_path):
+    (tmp_path / "a.csv").write_text("k\n1\n")
+    (tmp_path / "b.csv").write_text("k,l\n2,3\n")
+    manifest = file_manifest(spark, str(tmp_path))
+    headers = read_headers(spark, str(tmp_path), manifest=manifest)
+    (tmp_path / "a.csv").rename(tmp_path / "a.moved")
+    assert sorted((r.file, r.column_name) for r in headers.collect()) == [("a.csv", "k"), ("b.csv", "k"), ("b.csv", "l")]
 
 
 def test_archives_and_members_of_one_name(spark, tmp_path):
