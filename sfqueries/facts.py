@@ -16,16 +16,19 @@ from tallymart.plans.contracts import (
     ALL_FUNCTIONS,
     BAND_PATTERN,
     CUTS,
+    FUNCTION_KEYS,
     LAST_BAND,
     WAITING_MEASURES,
+    WAITING_PREFIX,
     WAITING_RATIO,
     band_columns,
 )
+from tallymart.plans import waiting
 from tallymart.plans.emergency import emergency_kpis
 
 from tallymart.sources import new_stage, save_table
 
-from .base import WAITS_SQL, backlog_sums_sql, query, table, waits, with_backlog
+from .base import PART_TYPES, WAITS_SQL, backlog_sums_sql, query, table, waits, with_backlog
 
 BAND_KEYS = ["report_month", "provider_org_code", "l_returnflag"]
 
@@ -39,7 +42,7 @@ def wide_bands(spark, sf_dir):
 
 @query(
     "band_threshold_sums",
-    "R4 R6 R7 K8 P5 P9 X3 X4 UD1",
+    "R4 R6 R7 P9 X3 X4 UD1",
     f"""WITH {WAITS_SQL}
 SELECT report_month, provider_org_code, l_returnflag,
        {backlog_sums_sql()}
@@ -51,6 +54,24 @@ def band_threshold_sums(spark, sf_dir):
     return out.select(*BAND_KEYS, "within_18_weeks", *[f"over_{c}_weeks" for c in CUTS])
 
 
+@query(
+    "row_sum_decimal",
+    "R4 R5",
+    """SELECT l_orderkey, l_linenumber, CAST(coalesce(CAST(round(l_extendedprice, 2) AS DECIMAL(18, 2)), 0)
+         + coalesce(nullif(CAST(round(l_tax, 2) AS DECIMAL(18, 2)), 0.02), 0) AS DOUBLE) AS ignoring,
+       CAST(CAST(round(l_extendedprice, 2) AS DECIMAL(18, 2)) + nullif(CAST(round(l_tax, 2) AS DECIMAL(18, 2)), 0.02) AS DOUBLE) AS propagating
+FROM lineitem""",
+)
+def row_sum_decimal(spark, sf_dir):
+    """Row sums of decimals keep their pence; a tax of 0.02 counts as missing."""
+    rows = table(spark, sf_dir, "lineitem").select(
+        "l_orderkey", "l_linenumber", F.round("l_extendedprice", 2).cast("decimal(18,2)").alias("price"),
+        F.nullif(F.round("l_tax", 2).cast("decimal(18,2)"), F.lit(0.02).cast("decimal(18,2)")).alias("tax"),
+    )
+    sums = {"ignoring": row_sum(["price", "tax"]), "propagating": row_sum(["price", "tax"], nulls="propagate")}
+    return rows.select("l_orderkey", "l_linenumber", *[c.cast("double").alias(n) for n, c in sums.items()])
+
+
 @query(
     "null_ignoring_row_sum",
     "R4 R5 P5",
@@ -72,7 +93,7 @@ def null_ignoring_row_sum(spark, sf_dir):
 
 @query(
     "band_reconciliation",
-    "V2 A17 K8 F9",
+    "V2 A17 F9",
     f"""WITH {WAITS_SQL}, rows_ AS (
   SELECT report_month, provider_org_code, l_returnflag,
          CAST(coalesce(sum(pathways) FILTER (band < 18), 0) AS BIGINT) AS w,
@@ -99,6 +120,80 @@ def band_reconciliation_(spark, sf_dir):
     return band_reconciliation(rows, ["within_18_weeks", "over_18_weeks"], "total_all", ["within_18_weeks_pct"])
 
 
+def published_rows(spark, sf_dir):
+    """Order lines as rows of a waiting-list file: a wide row per month, provider, part type and function, and one
+    for all functions together."""
+    own = F.struct("treatment_function_code", "treatment_function_name")
+    everything = F.struct(F.lit(ALL_FUNCTIONS).alias("treatment_function_code"), F.lit("Total").alias("treatment_function_name"))
+    rows = waits(spark, sf_dir).drop("line_number")
+    rows = rows.select("report_month", "provider_org_code", "l_returnflag", "band", "pathways", F.inline(F.array(own, everything)))
+    keys = ["report_month", "provider_org_code", "l_returnflag", *FUNCTION_KEYS]
+    wide = rows.groupBy(*keys).pivot("band", list(range(LAST_BAND + 1))).agg(F.sum("pathways")).toDF(*keys, *band_columns())
+    part = F.create_map(*[F.lit(x) for pair in PART_TYPES.items() for x in pair])[F.col("l_returnflag")]
+    named = {
+        "period": F.concat(F.lit(WAITING_PREFIX), F.date_format("report_month", "MMMM-yyyy")),
+        "rtt_part_type": part,
+        "provider_org_code": F.col("provider_org_code").cast("string"),
+        "provider_org_name": F.concat(F.lit("Provider "), F.col("provider_org_code").cast("string")),
+        "provider_parent_org_code": F.lit("P1"),
+        "provider_parent_name": F.lit("Parent"),
+        "total_all": row_sum(band_columns(), dtype="bigint"),
+    }
+    return wide.withColumns(named).drop("report_month", "l_returnflag")
+
+
+_PUBLISHED_SQL = f"""published AS (
+  SELECT report_month, 'P1' AS provider_parent_org_code, 'Parent' AS provider_parent_name,
+         CAST(provider_org_code AS VARCHAR) AS provider_org_code, 'Provider ' || provider_org_code AS provider_org_name,
+         f.code AS treatment_function_code, f.name AS treatment_function_name, CAST(sum(pathways) AS BIGINT) AS total_waiting,
+         {backlog_sums_sql()}
+  FROM (SELECT *, unnest([{{'code': treatment_function_code, 'name': treatment_function_name}},
+                          {{'code': '{ALL_FUNCTIONS}', 'name': 'Total'}}]) AS f FROM waits WHERE l_returnflag = 'N') GROUP BY ALL),
+shared AS (SELECT *, CASE WHEN total_waiting > 0 THEN within_18_weeks / total_waiting END AS within_18_weeks_pct FROM published)"""
+
+
+@query("incomplete_pathways", "K8", f"WITH {WAITS_SQL}, {_PUBLISHED_SQL} SELECT * FROM shared")
+def incomplete_pathways_(spark, sf_dir):
+    """The shipped job's first step, over rows shaped like the published files."""
+    return waiting.incomplete_pathways(published_rows(spark, sf_dir))
+
+
+def _job_totals(spark, sf_dir):
+    totals = waiting.function_totals(waiting.incomplete_pathways(published_rows(spark, sf_dir)))
+    return save_table(totals, f"{new_stage(spark, 'job')}/totals")
+
+
+@query(
+    "job_provider_fact",
+    "K8 F2 A13 A15",
+    f"""WITH {WAITS_SQL}, {_PUBLISHED_SQL} SELECT * EXCLUDE (treatment_function_code, treatment_function_name) FROM shared
+WHERE treatment_function_code = '{ALL_FUNCTIONS}'""",
+)
+def job_provider_fact(spark, sf_dir):
+    return waiting.provider_fact(_job_totals(spark, sf_dir))
+
+
+@query(
+    "job_specialty_fact",
+    "K8 F3 A13 A15",
+    f"WITH {WAITS_SQL}, {_PUBLISHED_SQL} SELECT * FROM shared WHERE treatment_function_code <> '{ALL_FUNCTIONS}'",
+)
+def job_specialty_fact(spark, sf_dir):
+    return waiting.specialty_fact(_job_totals(spark, sf_dir))
+
+
+@query(
+    "job_backlog_check",
+    "V2 K8",
+    f"""WITH {WAITS_SQL}, {_PUBLISHED_SQL} SELECT CAST(count(*) AS BIGINT) AS "rows",
+  CAST(count_if(within_18_weeks + over_18_weeks = total_waiting) AS BIGINT) AS total_matches,
+  CAST(count_if(within_18_weeks + over_18_weeks <> total_waiting) AS BIGINT) AS total_mismatches,
+  min(within_18_weeks_pct) AS min_within_18_weeks_pct, max(within_18_weeks_pct) AS max_within_18_weeks_pct FROM shared""",
+)
+def job_backlog_check(spark, sf_dir):
+    return waiting.backlog_check_from_totals(_job_totals(spark, sf_dir))
+
+
 def source_rows(spark, sf_dir):
     """Incomplete pathways as published: a row per function, and one more for all functions together."""
     rows = with_backlog(waits(spark, sf_dir, part="N"))

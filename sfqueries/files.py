@@ -21,6 +21,7 @@ from tallymart.sources import (
     read_csv,
     read_headers,
     read_zip_csv,
+    replace_partitions,
     save_table,
     stack_files,
     with_lineage,
@@ -193,6 +194,29 @@ def stage_hand_off(spark, sf_dir):
     return save_table(fact, f"{new_stage(spark, 'hand-off')}/fact", ["report_month"])
 
 
+@query(
+    "month_hand_off",
+    "S13 X6",
+    """SELECT CAST(date_trunc('month', o_orderdate) AS DATE) AS report_month, o_orderstatus, count(*) AS n, TRUE AS untouched
+FROM orders GROUP BY ALL""",
+)
+def month_hand_off(spark, sf_dir):
+    """A fact that lacks its newest months, and has a wrong one, gets these alone: it equals the full build, and the
+    files of all other months are the ones written before."""
+    rows = table(spark, sf_dir, "orders").select(F.trunc("o_orderdate", "month").alias("report_month"), "o_orderstatus")
+    fact = count_by(rows, ["report_month", "o_orderstatus"])
+    path = f"{new_stage(spark, 'months')}/fact"
+    late, wrong = F.col("report_month") >= "1998-01-01", F.col("report_month") == "1995-03-01"
+    before = save_table(fact.filter(~late).withColumn("n", F.when(wrong, 0).otherwise(F.col("n"))), path, ["report_month"])
+    kept = save_table(before.select("report_month", F.col("_metadata.file_name").alias("file")).distinct(), f"{path}-files")
+    after = replace_partitions(fact.filter(late | wrong), path, ["report_month"])
+    after = after.select("*", late.alias("late"), wrong.alias("wrong"), F.col("_metadata.file_name").alias("file"))
+    known = kept.select(F.col("report_month").alias("m"), F.col("file").alias("f"), F.lit(True).alias("known"))
+    found = after.join(known, (F.col("report_month") == F.col("m")) & (F.col("file") == F.col("f")), "left")
+    same = F.coalesce("known", F.lit(False)) != (F.col("late") | F.col("wrong"))
+    return found.select("report_month", "o_orderstatus", "n", same.alias("untouched"))
+
+
 _EXPORTS = ["customer", "supplier", "part"]
 
 

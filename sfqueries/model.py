@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from tallymart.plans import contracts as C
 from tallymart.plans import model
 from tallymart.plans.emergency import emergency_sanity
-from tallymart.sources import new_stage, save_table
+from tallymart.sources import new_stage, save_tables
 
 from .base import WAITS_SQL, query, table
 from .dims import CALENDAR_SQL
@@ -60,10 +60,8 @@ def _facts(spark, sf_dir):
 
 def star(spark, sf_dir):
     stage = new_stage(spark, "star")
-    tables = {n: save_table(t, f"{stage}/{n}") for n, t in _facts(spark, sf_dir).items()}
-    dims = model.build_dimensions(tables)
-    tables.update({n: save_table(t, f"{stage}/{n}") for n, t in dims.items()})
-    return tables
+    tables = save_tables(_facts(spark, sf_dir), stage)
+    return tables | save_tables(model.build_dimensions(tables), stage)
 
 
 STAR_SQL = f"""WITH {WAITS_SQL}, {PROVIDER_FACT_SQL}, {SPECIALTY_FACT_SQL}, {EMERGENCY_SQL},

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-from tallymart.functions import columns_except, columns_of_type
+from tallymart.functions import columns_except, columns_of_type, likely_fields
 from tallymart.operators import (
     any_text_equals,
     character_profile,
@@ -295,3 +295,23 @@ def profile_report_(spark, sf_dir):
         .withColumn("in_every_file", F.col("files").isNotNull())
         .drop("files_present", "files")
     )
+
+
+_FIELDS = {"date": "date", "key": "key$", "amount": "price|discount|tax"}
+_FOUND = {"date": ["l_shipdate"], "key": ["l_orderkey", "l_partkey", "l_suppkey"], "amount": ["l_extendedprice", "l_discount", "l_tax"]}
+
+
+@query(
+    "likely_fields",
+    "P5 UD1",
+    " UNION ALL ".join(
+        f"SELECT '{kind}' AS kind, '{c}' AS column_name, count({c}) AS present FROM lineitem" for kind, names in _FOUND.items() for c in names
+    ),
+)
+def likely_fields_(spark, sf_dir):
+    """Columns found by what their names look like, with their values counted in one pass."""
+    lines = table(spark, sf_dir, "lineitem")
+    found = [(kind, c) for kind, names in likely_fields(lines, _FIELDS).items() for c in names]
+    counts = lines.agg(*[F.count(c).alias(c) for c in dict.fromkeys(c for _, c in found)])
+    rows = [F.struct(F.lit(kind).alias("kind"), F.lit(c).alias("column_name"), F.col(c).alias("present")) for kind, c in found]
+    return counts.select(F.inline(F.array(*rows)))

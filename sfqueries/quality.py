@@ -14,6 +14,7 @@ from tallymart.operators import (
     issue_count,
     match_tally,
     missing_keys,
+    band_reconciliation,
     published_total_check,
     qa_summary,
     range_check,
@@ -134,6 +135,48 @@ def published_total_check_(spark, sf_dir):
     return totals_check(spark, sf_dir)
 
 
+_DECIMAL_TOTALS = {"price_decimal": "decimal", "price_double": "double"}
+
+
+@query(
+    "published_total_decimal",
+    "V1 A12 R2",
+    """WITH sums AS (SELECT l_returnflag AS source_file, sum(CAST(round(l_extendedprice, 2) AS DECIMAL(18, 2))) AS total
+  FROM lineitem GROUP BY ALL), checked AS (
+  SELECT source_file, unnest(['price_decimal', 'price_double']) AS metric, total AS calculated,
+         total + CASE WHEN source_file = 'A' THEN CAST(0.01 AS DECIMAL(18, 2)) ELSE 0 END AS published FROM sums)
+SELECT source_file, metric, CAST(calculated AS DOUBLE) AS calculated_total, CAST(published AS DOUBLE) AS published_total,
+  CAST(calculated - published AS DOUBLE) AS difference, calculated = published AS matches FROM checked""",
+)
+def published_total_decimal(spark, sf_dir):
+    """Prices with pence, as decimals and as doubles; one file's published total is a penny off."""
+    price = F.round("l_extendedprice", 2)
+    rows = table(spark, sf_dir, "lineitem").select(
+        F.col("l_returnflag").alias("source_file"), price.cast("decimal(18,2)").alias("price_decimal"), price.alias("price_double")
+    )
+    exact = rows.groupBy("source_file").agg(F.sum("price_decimal").alias("total"))
+    exact = exact.withColumn("total", F.col("total") + F.when(F.col("source_file") == "A", F.lit(0.01).cast("decimal(18,2)")).otherwise(0))
+    totals = exact.select("source_file", *[F.col("total").cast("decimal(18,2)" if t == "decimal" else t).alias(c) for c, t in _DECIMAL_TOTALS.items()])
+    checked = published_total_check(rows, totals, "source_file")
+    return checked.withColumns({c: F.col(c).cast("double") for c in ("calculated_total", "published_total", "difference")})
+
+
+@query(
+    "band_reconciliation_decimal",
+    "V2 R5",
+    """WITH parts AS (SELECT l_orderkey % 10 AS pence, l_linenumber AS n FROM lineitem)
+SELECT count(*) AS "rows", CAST(count_if(n <> 7) AS BIGINT) AS total_matches, CAST(count_if(n = 7) AS BIGINT) AS total_mismatches FROM parts""",
+)
+def band_reconciliation_decimal(spark, sf_dir):
+    """Parts of 0.1 and 0.2 and the like as doubles; the total is as published, but for seventh lines."""
+    pence = (F.col("l_orderkey") % 10).cast("decimal(9,1)") / 10
+    rows = table(spark, sf_dir, "lineitem").select(
+        pence.cast("double").alias("one"), F.lit(0.2).alias("two"),
+        (pence + F.lit(0.2).cast("decimal(9,1)") + (F.col("l_linenumber") == 7).cast("int")).cast("decimal(9,1)").cast("double").alias("total"),
+    )
+    return band_reconciliation(rows, ["one", "two"], "total")
+
+
 @query(
     "match_tally",
     "A26 V1",

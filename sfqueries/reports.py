@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from tallymart.operators import drilldown, latest_period, month_on_month, rank_within, region_compare, share_of_total
 from tallymart.plans.contracts import WAITING_RATIO
+from tallymart.sources import new_stage, save_table
 
 from .base import WAITS_SQL, query, table
 from .facts import (
@@ -62,6 +63,18 @@ def rank_of_share(spark, sf_dir):
     return rank_within(fact, "provider_org_code", "pct", descending=False)
 
 
+@query(
+    "rank_narrow_values",
+    "D2",
+    """SELECT o_orderkey, o_orderstatus, o_orderkey + 1000000000 AS value, rank() OVER w AS rank, percent_rank() OVER w AS percent_rank
+FROM orders WINDOW w AS (PARTITION BY o_orderstatus ORDER BY o_orderkey)""",
+)
+def rank_narrow_values(spark, sf_dir):
+    """Values that are all of one size, as they lie within a small part of their range."""
+    rows = table(spark, sf_dir, "orders").select("o_orderkey", "o_orderstatus", (F.col("o_orderkey") + 1_000_000_000).alias("value"))
+    return rank_within(rows, "o_orderstatus", "value", descending=False)
+
+
 @query(
     "share_of_total",
     "D3",
@@ -113,7 +126,8 @@ def region_compare_(spark, sf_dir):
 SELECT * FROM fact_provider WHERE report_month = (SELECT max(report_month) FROM fact_provider)""",
 )
 def latest_period_(spark, sf_dir):
-    return latest_period(provider_fact(spark, sf_dir))
+    stored = save_table(provider_fact(spark, sf_dir), f"{new_stage(spark, 'latest')}/fact", ["report_month"])
+    return latest_period(stored)
 
 
 @query(

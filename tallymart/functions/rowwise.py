@@ -29,6 +29,22 @@ def sum_type(df: DataFrame, cols: Sequence[str]) -> str:
     return f"decimal(38,{max(scales)})" if scales else "bigint"
 
 
+# Doubles that are to add up without regard to order are read as decimals with so many digits behind the point.
+EXACT = "decimal(38,10)"
+
+
+def as_exact(df: DataFrame, cols: Sequence[str]) -> DataFrame:
+    """``df`` with the float and double columns of ``cols`` as the decimals they are written as, so that 0.1 + 0.2 is 0.3
+    in any order. A value without such a decimal (NaN, infinite, 10^28 and more) stops the job."""
+    out = {}
+    for c in cols:
+        if isinstance(df.schema[c].dataType, (T.FloatType, T.DoubleType)):
+            number = F.col(c).cast("string").try_cast(EXACT)
+            message = F.concat(F.lit(f"no exact sum of column {c} with "), F.col(c).cast("string"))
+            out[c] = F.when(F.col(c).isNull() | number.isNotNull(), number).otherwise(F.raise_error(message).cast(EXACT))
+    return df.withColumns(out) if out else df
+
+
 def row_sum(cols: Sequence, nulls: str = "ignore", dtype: str | None = None) -> Column:
     """Sum of several columns of one row.
 

@@ -33,6 +33,7 @@ from .quality import (
     conflicting_attributes,
     duplicate_keys,
     foreign_key_check,
+    grain_checks,
     grain_reconciliation,
     issue_count,
     published_total_check,
@@ -65,6 +66,7 @@ __all__ = [
     "first_last_non_null",
     "first_n",
     "foreign_key_check",
+    "grain_checks",
     "grain_reconciliation",
     "guess_schema",
     "guess_types",

@@ -8,7 +8,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions._columns import as_col
-from ..functions.rowwise import row_sum, sum_type
+from ..functions.names import columns_of_type
+from ..functions.rowwise import as_exact, row_sum, sum_type
 from .aggregates import count_by, distinct_on, rollup_measures, sanity_counts, sum_all_numeric
 from .joins import Keys, as_list, join_on, missing_keys
 from .reshape import stack, wide_to_long
@@ -55,13 +56,43 @@ def foreign_key_check(
     return issue_count(check, absent, "__n")
 
 
+def grain_checks(
+    fact: DataFrame,
+    keys: Keys,
+    unique: str | None = None,
+    references: Mapping[str, tuple[DataFrame, Keys, Keys]] | None = None,
+    rules: Mapping[str, Column] | None = None,
+) -> DataFrame:
+    """(check, issue_count) of all checks of one fact, from one scan of it.
+
+    The fact is reduced to its grain: how many rows have each key, and how many of them meet each rule. From that
+    follow ``unique``, the keys that are not unique, ``references`` (check to dimension, own keys, its keys), the
+    fact rows whose key is absent from the dimension (null matches null), and ``rules``, the rows that meet one.
+    """
+    keys, references, rules = as_list(keys), references or {}, rules or {}
+    met = [F.count_if(rule).alias(f"__rule_{i}") for i, rule in enumerate(rules.values())]
+    grain = fact.groupBy(*keys).agg(F.count(F.lit(1)).alias("__n"), *met)
+    counts = {unique: F.count_if(F.col("__n") > 1)} if unique else {}
+    for i, (check, (dim, on, right_on)) in enumerate(references.items()):
+        found = f"__found_{i}"
+        known = dim.select(*[F.col(r).alias(k) for k, r in zip(as_list(on), as_list(right_on))]).distinct()
+        grain = join_on(grain, known.withColumn(found, F.lit(True)), on)
+        counts[check] = F.sum(F.when(F.col(found).isNull(), F.col("__n")))
+    for i, check in enumerate(rules):
+        counts[check] = F.sum(f"__rule_{i}")
+    one = grain.agg(*[F.coalesce(c, F.lit(0)).cast("bigint").alias(check) for check, c in counts.items()])
+    return wide_to_long(one, "check", "issue_count")
+
+
 def range_check(df: DataFrame, rules: Mapping[str, Column]) -> DataFrame:
     """(check, issue_count) per rule: rows that meet it. All rules share one pass."""
     return wide_to_long(sanity_counts(df, rules, rows=None), "check", "issue_count")
 
 
 def band_reconciliation(df: DataFrame, parts: Sequence[str], total: str, ranges: Sequence[str] = ()) -> DataFrame:
-    """One row: rows, rows whose parts add up to the total, rows whose parts do not, min / max of ``ranges``."""
+    """One row: rows, rows whose parts add up to the total, rows whose parts do not, min / max of ``ranges``. Doubles
+    add up as the decimals they are written as."""
+    df = as_exact(df, [c for c in dict.fromkeys([*parts, total]) if c not in ranges])
     parts_sum = row_sum(parts, nulls="propagate")
     return sanity_counts(
         df,
@@ -75,18 +106,23 @@ def published_total_check(rows: DataFrame, totals: DataFrame, file: Keys, dtype:
 
     Gives the file, metric, calculated_total, published_total, difference and matches; a metric with
     no published value has a missing outcome. ``dtype`` is the type of both sides; by default the one in
-    which the metrics add up without loss.
+    which the metrics add up without loss. Doubles add up as the decimals they are written as, so the outcome does
+    not change with the order of rows.
     """
     files = as_list(file)
+    metrics = [c for c in columns_of_type(rows, "numeric") if c not in files]
+    rough = not dtype and sum_type(rows.select(*metrics).unionByName(totals.select(*metrics)), metrics) == "double"
+    rows, totals = as_exact(rows, metrics), as_exact(totals, metrics)
     calculated = sum_all_numeric(rows, files)
-    metrics = [c for c in calculated.columns if c not in files]
     dtype = dtype or sum_type(calculated.select(*metrics).unionByName(totals.select(*metrics)), metrics)
     calculated = wide_to_long(calculated, "metric", "calculated_total", files, dtype)
     published = wide_to_long(totals.select(*files, *metrics), "metric", "published_total", files, dtype)
     difference = F.col("calculated_total") - F.col("published_total")
-    return join_on(calculated, published, [*files, "metric"]).withColumns(
+    checked = join_on(calculated, published, [*files, "metric"]).withColumns(
         {"difference": difference, "matches": difference == 0}
     )
+    shown = ("calculated_total", "published_total", "difference")
+    return checked.withColumns({c: F.col(c).cast("double") for c in shown}) if rough else checked
 
 
 def grain_reconciliation(

@@ -4,16 +4,15 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.rowwise import safe_ratio
+from ..sources.sinks import save_table
+from ..sources.staging import new_stage
 from .aggregates import build_fact, total
 from .joins import Keys, as_list, join_on
 
-# Value buckets per factor of e in ``rank_within``. It bounds what one task orders, not the result.
-BUCKETS_PER_E = 1024
-
 
 def month_on_month(
     fact: DataFrame, keys: Keys, value: str, month: str = "report_month", higher_is_better: bool = False
@@ -28,39 +27,35 @@ def month_on_month(
     )
 
 
-def _bucket(value: Column) -> Column:
-    """A whole number that never falls as ``value`` rises; its range is bounded for doubles."""
-    v = value.cast("double")
-    finite = F.floor((F.log(F.abs(v)) + 800) * BUCKETS_PER_E)
-    size = F.when(F.abs(v) == float("inf"), F.lit(1 << 39)).otherwise(finite)
-    # NaN is larger than any number, infinity included.
-    return F.when(F.isnan(v), F.lit(1 << 40)).when(v > 0, size).when(v < 0, -size).otherwise(F.lit(0).cast("bigint"))
-
-
 def rank_within(
     df: DataFrame, group: Keys, value: str, rank: str = "rank", percent: str = "percent_rank", descending: bool = True
 ) -> DataFrame:
     """Rank (ties share the smallest) and percent rank of ``value`` inside each group.
 
-    A plain window would sort a whole group in one task. Here equal values are counted first, a
-    running count is kept inside value buckets, and the bucket totals, whose number is bounded, give
-    each bucket its offset. Rows with a missing value get no rank.
+    A plain window would sort a whole group in one task. Here equal values are counted first; the counts are dealt
+    into ranges of group and value by sampled splitters and stored, so that a task orders its share however a
+    group's values are spread. Each range's counts per group give the next ranges their offset. Rows with a missing
+    value get no rank.
     """
     group = as_list(group)
+    spark = df.sparkSession
     direction = F.desc if descending else F.asc
     counts = df.filter(F.col(value).isNotNull()).groupBy(*group, value).agg(F.count(F.lit(1)).alias("__n"))
-    counts = counts.withColumn("__bucket", _bucket(F.col(value)))
-    inner = Window.partitionBy(*group, "__bucket").orderBy(direction(value)).rowsBetween(Window.unboundedPreceding, -1)
-    outer = Window.partitionBy(*group).orderBy(direction("__bucket")).rowsBetween(Window.unboundedPreceding, -1)
-    buckets = (
-        counts.groupBy(*group, "__bucket")
+    ranges = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    counts = counts.repartitionByRange(ranges, *group, direction(value)).withColumn("__range", F.spark_partition_id())
+    counts = save_table(counts, new_stage(spark, "ranges"))
+    inner = Window.partitionBy("__range", *group).orderBy(direction(value)).rowsBetween(Window.unboundedPreceding, -1)
+    # At most as many rows as there are ranges and groups together.
+    outer = Window.partitionBy(*group).orderBy("__range").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = (
+        counts.groupBy("__range", *group)
         .agg(F.sum("__n").alias("__size"))
         .withColumn("__offset", F.coalesce(F.sum("__size").over(outer), F.lit(0)))
         .withColumn("__rows", F.sum("__size").over(Window.partitionBy(*group)))
         .drop("__size")
     )
     counts = counts.withColumn("__before", F.coalesce(F.sum("__n").over(inner), F.lit(0)))
-    ranks = join_on(counts, buckets, [*group, "__bucket"], "inner").select(
+    ranks = join_on(counts, offsets, ["__range", *group], "inner").select(
         *group, value, (F.col("__offset") + F.col("__before") + 1).alias(rank), "__rows"
     )
     share = F.when(F.col("__rows") > 1, (F.col(rank) - 1) / (F.col("__rows") - 1)).otherwise(F.lit(0.0))
@@ -100,9 +95,13 @@ def region_compare(
 
 
 def latest_period(fact: DataFrame, month: str = "report_month") -> DataFrame:
-    """Rows of the newest month. The newest month is one row, so broadcasting it is safe."""
-    newest = fact.agg(F.max(month).alias("__newest"))
-    return fact.join(F.broadcast(newest), F.col(month) == F.col("__newest"), "left_semi")
+    """Rows of the newest month.
+
+    The newest month is found first and then filtered by, as a value: from a table stored by month, the first step
+    reads partition names and row counts only, and the second one partition. A computed fact should be stored first.
+    """
+    newest = fact.agg(F.max(month)).first()[0]
+    return fact.filter(F.col(month) == F.lit(newest))
 
 
 def drilldown(fact: DataFrame, filters: Mapping[str, object]) -> DataFrame:

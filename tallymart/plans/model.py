@@ -13,7 +13,7 @@ from ..operators import (
     date_dim,
     distinct_on,
     entity_dim,
-    foreign_key_check,
+    grain_checks,
     grain_reconciliation,
     issue_count,
     missing_keys,
@@ -102,29 +102,33 @@ def _waiting_rules(label: str) -> dict:
 
 
 def quality_checks(t: Tables) -> DataFrame:
-    """(check, issue_count, status): the 21 checks as one job."""
-    ae, provider, specialty = t["fact_ae"], t["fact_rtt_provider"], t["fact_rtt_specialty"]
-    dates, providers, functions = t["dim_date"], t["dim_provider"], t["dim_specialty"]
-    name = iter(C.QA_CHECKS)
-    org, function = "provider_org_code", "treatment_function_code"
+    """(check, issue_count, status): the 21 checks. Each fact is scanned once; its checks follow from its grain."""
+    month, org, function = "report_month", "provider_org_code", "treatment_function_code"
+
+    def references(label: str, provider: str) -> dict:
+        return {
+            f"{label} missing date keys": (t["dim_date"], month, month),
+            f"{label} missing provider keys": (t["dim_provider"], provider, "provider_code"),
+        }
+
     checks = [
-        unique_key_check(next(name), ae, ["report_month", "provider_code"]),
-        unique_key_check(next(name), provider, ["report_month", org]),
-        unique_key_check(next(name), specialty, ["report_month", org, function]),
-        unique_key_check(next(name), dates, "report_month"),
-        unique_key_check(next(name), providers, "provider_code"),
-        unique_key_check(next(name), functions, function),
-        foreign_key_check(next(name), ae, dates, "report_month"),
-        foreign_key_check(next(name), provider, dates, "report_month"),
-        foreign_key_check(next(name), specialty, dates, "report_month"),
-        foreign_key_check(next(name), ae, providers, "provider_code"),
-        foreign_key_check(next(name), provider, providers, org, "provider_code"),
-        foreign_key_check(next(name), specialty, providers, org, "provider_code"),
-        foreign_key_check(next(name), specialty, functions, function),
-        range_check(ae, _share_rules("A&E performance", "ae_4_hour_performance_pct")),
-        range_check(provider, _waiting_rules("RTT provider")),
-        range_check(specialty, _waiting_rules("RTT specialty")),
-    ]
+        grain_checks(
+            t["fact_ae"], [month, "provider_code"], "A&E fact duplicate keys",
+            references("A&E", "provider_code"), _share_rules("A&E performance", "ae_4_hour_performance_pct"),
+        ),
+        grain_checks(
+            t["fact_rtt_provider"], [month, org], "RTT provider fact duplicate keys",
+            references("RTT provider", org), _waiting_rules("RTT provider"),
+        ),
+        grain_checks(
+            t["fact_rtt_specialty"], [month, org, function], "RTT specialty fact duplicate keys",
+            {**references("RTT specialty", org), "RTT missing specialty keys": (t["dim_specialty"], function, function)},
+            _waiting_rules("RTT specialty"),
+        ),
+        unique_key_check("Date dimension duplicate keys", t["dim_date"], month),
+        unique_key_check("Provider dimension duplicate keys", t["dim_provider"], "provider_code"),
+        unique_key_check("Specialty dimension duplicate keys", t["dim_specialty"], function),
+    ]
     return qa_summary(checks, C.QA_CHECKS)
 
 

@@ -9,7 +9,7 @@ import sys
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tallymart.operators import profile_report
+from tallymart.operators import count_by, dataset_overview, missing_profile, numeric_profile, order, profile_report
 from tallymart.operators.profile import write_report
 from tallymart.plans import contracts as C
 from tallymart.plans import emergency, model, waiting
@@ -20,8 +20,10 @@ from tallymart.sources import (
     read_csv,
     read_headers,
     save_table,
+    save_tables,
     unpack_archives,
     write_csv,
+    zip_catalogue,
 )
 
 SORT_KEYS = {
@@ -51,14 +53,13 @@ def build_model(raw_emergency: DataFrame, raw_waiting: DataFrame, out: str) -> d
     stage = new_stage(raw_waiting.sparkSession, "model")
     incomplete = waiting.incomplete_pathways(raw_waiting)
     totals = save_table(waiting.function_totals(incomplete), f"{stage}/function_totals")
-    tables = {
+    facts = {
         "fact_ae": emergency.emergency_fact(raw_emergency),
         "fact_rtt_provider": waiting.provider_fact(totals),
         "fact_rtt_specialty": waiting.specialty_fact(totals),
     }
-    tables = {n: save_table(t, f"{out}/model/{n}", ["report_month"]) for n, t in tables.items()}
-    dims = model.build_dimensions(tables)
-    tables.update({n: save_table(t, f"{out}/model/{n}") for n, t in dims.items()})
+    tables = save_tables(facts, f"{out}/model", ["report_month"])
+    tables |= save_tables(model.build_dimensions(tables), f"{out}/model")
     save_table(waiting.backlog_check_from_totals(totals), f"{out}/model/backlog_check")
     return tables
 
@@ -81,14 +82,34 @@ def write_profile(rows: DataFrame, headers: DataFrame, out: str) -> list[str]:
     return write_report(profile_report(rows, headers), f"{out}/data_quality", "rtt_")
 
 
+def write_extra(tables: dict[str, DataFrame], raw_emergency: DataFrame, rows: DataFrame, archives: DataFrame, out: str) -> list[str]:
+    """What is looked at beside the validation reports: the emergency totals against the published ones, its sanity
+    counts and missing cells, renamed providers, further checks, and what the archives and the waiting lists hold."""
+    history = model.provider_history(tables["fact_ae"], tables["fact_rtt_provider"])
+    reports = {
+        "emergency_published_totals": order(emergency.emergency_totals_check(raw_emergency), "source_file", "metric"),
+        "emergency_sanity": emergency.emergency_sanity(tables["fact_ae"]),
+        "emergency_rows_by_file": order(count_by(raw_emergency, "source_file", "rows"), "source_file"),
+        "emergency_missing_profile": missing_profile(raw_emergency),
+        "emergency_numeric_profile": numeric_profile(raw_emergency),
+        "renamed_providers": order(model.renamed_providers(history), "provider_code"),
+        "extended_checks": model.extended_checks(tables),
+        "zip_catalogue": order(archives, "source_zip", "file_name"),
+        "rtt_dataset_overview": dataset_overview(rows, "source_file"),
+    }
+    return write_report(reports, f"{out}/reports")
+
+
 def main(argv: list[str]) -> None:
     raw_emergency, raw_archives, out = argv
     spark = SparkSession.builder.appName("tallymart").getOrCreate()
     rows, headers = stage_waiting(spark, raw_archives)
-    tables = build_model(emergency.read_emergency(spark, raw_emergency), rows, out)
+    ae = save_table(emergency.read_emergency(spark, raw_emergency), f"{new_stage(spark, 'emergency')}/rows")
+    tables = build_model(ae, rows, out)
     export_model(tables, out)
     write_validation(spark, tables, out)
     write_profile(rows, headers, out)
+    write_extra(tables, ae, rows, zip_catalogue(spark, raw_archives), out)
 
 
 if __name__ == "__main__":

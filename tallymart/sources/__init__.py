@@ -9,7 +9,7 @@ from .files import (
     stack_files,
     with_lineage,
 )
-from .sinks import export_check, literal_table, load_table, save_table, write_csv
+from .sinks import export_check, literal_table, load_table, replace_partitions, save_table, save_tables, write_csv
 from .staging import new_stage
 
 __all__ = [
@@ -24,7 +24,9 @@ __all__ = [
     "read_csv",
     "read_headers",
     "read_zip_csv",
+    "replace_partitions",
     "save_table",
+    "save_tables",
     "stack_files",
     "unpack_archives",
     "with_lineage",

@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
+from concurrent.futures import ThreadPoolExecutor
 
 import pyarrow as pa
+from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -42,6 +44,26 @@ def save_table(df: DataFrame, path: str, partition_by: Sequence[str] = ()) -> Da
     return load_table(df.sparkSession, path, schema)
 
 
+def save_tables(tables: Mapping[str, DataFrame], folder: str, partition_by: Sequence[str] = ()) -> dict[str, DataFrame]:
+    """Save independent tables as ``<folder>/<name>`` and return them read back. Their jobs run side by side, so that
+    the last tasks of one do not keep the cluster waiting."""
+    with ThreadPoolExecutor(max(1, len(tables))) as pool:
+        saved = {n: pool.submit(inheritable_thread_target(t.sparkSession)(save_table), t, f"{folder}/{n}", partition_by) for n, t in tables.items()}
+        return {n: done.result() for n, done in saved.items()}
+
+
+def replace_partitions(df: DataFrame, path: str, partition_by: Sequence[str]) -> DataFrame:
+    """Bring new or corrected periods into a saved table and return it read back: the partitions that ``df`` has rows
+    of are replaced, all others stay as they are and are not read. ``df`` must not come from the table itself."""
+    schema = load_table(df.sparkSession, path).schema
+    if set(schema.names) != set(df.columns):
+        raise ValueError(f"columns {sorted(df.columns)} are not those of the table, {sorted(schema.names)}")
+    typed = df.select(*[quoted(c).cast(schema[c].dataType).alias(c) for c in df.columns])
+    writer = typed.hint("rebalance", *partition_by).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+    writer.partitionBy(*partition_by).parquet(path)
+    return load_table(df.sparkSession, path, typed.schema)
+
+
 def load_table(spark: SparkSession, path: str, schema: T.StructType | None = None) -> DataFrame:
     """Read a table written by ``save_table``; types come from the files, or from ``schema``."""
     reader = spark.read.schema(schema) if schema is not None else spark.read

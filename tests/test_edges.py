@@ -65,6 +65,20 @@ def test_padded_text_and_folder_names(spark, tmp_path):
     assert found == {"readout": True, "lost": False}
 
 
+def test_doubles_add_up_as_written(spark):
+    """0.1 + 0.2 is 0.3, in any order; what is no number stops the check."""
+    rows = spark.createDataFrame([("f", 0.1, 1), ("f", 0.2, 2), ("g", 1e-9, 3)], "file string, x double, n int")
+    totals = spark.createDataFrame([("f", 0.3, 3), ("g", 0.0, 3)], "file string, x double, n int")
+    found = {(r.file, r.metric): (r.matches, r.difference) for r in published_total_check(rows, totals, "file").collect()}
+    assert found == {("f", "x"): (True, 0.0), ("f", "n"): (True, 0.0), ("g", "x"): (False, 1e-9), ("g", "n"): (True, 0.0)}
+    bands = spark.createDataFrame([(0.1, 0.2, 0.3), (0.1, 0.2, 0.4)], "a double, b double, t double")
+    one = band_reconciliation(bands, ["a", "b"], "t").first()
+    assert (one.total_matches, one.total_mismatches) == (1, 1)
+    odd = spark.createDataFrame([("f", float("nan"))], "file string, x double")
+    with pytest.raises(Exception, match="no exact sum"):
+        published_total_check(odd, totals.drop("n"), "file").collect()
+
+
 def test_more_than_500_layouts(spark, tmp_path):
     for i in range(505):
         (tmp_path / f"f{i}.csv").write_text(f"k,extra_{i}\n{i},x\n")

@@ -6,10 +6,11 @@ import datetime as dt
 import pytest
 from pyspark.sql import functions as F
 
-from tallymart.operators import match_tally, missing_keys
+from tallymart.operators import grain_checks, match_tally, missing_keys
 from tallymart.plans import contracts as C
 from tallymart.plans import emergency, model, waiting
-from tallymart.plans.run import build_model, export_model, stage_waiting, write_profile, write_validation
+from tallymart.plans.run import build_model, export_model, stage_waiting, write_extra, write_profile, write_validation
+from tallymart.sources import read_csv, zip_catalogue
 from published import ae_row, ae_total, waiting_csv, waiting_row, write_ae, write_zip
 
 APRIL, MAY, JUNE = (dt.date(2026, m, 1) for m in (4, 5, 6))
@@ -248,3 +249,34 @@ def test_row_level_defects(spark):
     got = waiting.backlog_check(incomplete).first()
     assert (got["rows"], got.total_matches, got.total_mismatches) == (4, 2, 2)
     assert missing_keys(incomplete, incomplete, C.PROVIDER_KEYS).count() == 0
+
+
+def test_further_reports(spark, built, raw, tmp_path):
+    tables = built[0]
+    ae = emergency.read_emergency(spark, str(raw / "ae"))
+    rows, _ = stage_waiting(spark, str(raw / "rtt"))
+    names = write_extra(tables, ae, rows, zip_catalogue(spark, str(raw / "rtt")), str(tmp_path))
+    assert len(names) == 9
+    totals = read_csv(spark, f"{tmp_path}/reports/emergency_published_totals.csv", lineage=None)
+    assert totals.count() > 0 and set(totals.columns) >= {"source_file", "metric", "matches"}
+    overview = read_csv(spark, f"{tmp_path}/reports/rtt_dataset_overview.csv", lineage=None).first()
+    assert int(overview.total_rows) == rows.count()
+
+
+def test_each_fact_is_scanned_once_for_its_checks(built):
+    """As many scans as tables: the checks of a fact follow from its grain."""
+    plan = model.quality_checks(built[0])._jdf.queryExecution().optimizedPlan().toString()
+    for fact in ("fact_ae", "fact_rtt_provider", "fact_rtt_specialty"):
+        grain = {"fact_ae": "ae_4_hour_performance_pct"}.get(fact, "within_18_weeks_pct")
+        assert grain in plan
+    assert plan.count("Relation [") <= 13
+
+
+def test_grain_checks_by_hand(spark):
+    rows = [("a", 1, 5), ("a", 1, 6), ("b", 1, -1), ("b", None, 2), ("c", 2, 3), ("c", 2, 3), ("c", 2, 3)]
+    fact = spark.createDataFrame(rows, "k string, d int, v int")
+    dim = spark.createDataFrame([(1,), (1,)], "id int")
+    found = grain_checks(fact, ["k", "d"], "twice", {"lost": (dim, "d", "id")}, {"below": F.col("v") < 0, "three": F.col("v") == 3})
+    assert {r.check: r.issue_count for r in found.collect()} == {"twice": 2, "lost": 4, "below": 1, "three": 3}
+    empty = grain_checks(fact.limit(0), ["k", "d"], "twice", {"lost": (dim, "d", "id")}, {"below": F.col("v") < 0})
+    assert {r.issue_count for r in empty.collect()} == {0}
