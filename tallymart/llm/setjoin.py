@@ -18,7 +18,8 @@ their sets' Jaccard similarity is ``percent`` / 100 or more.
    many; it joins large groups whose sets are linked, but not with one leader.
 4. Now a list is a short list of groups, each a block with its least size and its largest rest behind a shared
    member's position. Two blocks are skipped if these rule out every link between them, or if their groups are
-   already connected. The leaders of the others are compared.
+   already connected. The leaders of the others are compared, first by a few leading bits of their members,
+   which give an upper bound of what they share, then, if it allows a link, by their whole sets.
 5. What two groups' members share follows from what their leaders share: it changes by the members that each
    has more and less than its leader. Only pairs that these differences allow are looked at, no whole sets are
    read again, and all links are exact.
@@ -49,6 +50,7 @@ from .shared import broadcast_if_small, same, schema_of, stored, whole_text
 
 SKETCH = 1 << 16  # counters of the member order, whatever the size of the data
 STEP = 300  # texts whose sets are made at once, at most 512
+SHORT = 6  # bits of a member in a short form, beyond those that number the members
 LONG = 256  # sets of a list from which on draws join its parts before they are compared
 DRAWS = 4  # draws for a set in the first turn; each turn has twice as many
 SALTS = 64  # parts of the list of a member that very many sets may hold
@@ -139,6 +141,74 @@ def set_rows(k: int):
     return run
 
 
+def _short_bits(size: np.ndarray) -> np.ndarray:
+    """Leading bits of a member in the short form of a set of this size."""
+    return np.frexp(size.astype(np.float64))[1] + SHORT
+
+
+def short_rows(k: int):
+    """A task over (node, text): node, size of the set, and its short form. That is the distinct leading bits of its
+    members in rising order, as gaps: bytes 255 that add 255 each, then one that adds itself and one."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        hasher = W.WordHasher()
+        for batch in batches:
+            for at in range(0, batch.num_rows, STEP):
+                part = batch.slice(at, STEP)
+                members, of = shingle_sets(part.column(1), k, hasher)
+                size = np.bincount(of, minlength=part.num_rows)
+                lead = (members >> (64 - _short_bits(size)[of]).astype(W.U64)).astype(np.int64)
+                first = np.append(True, of[1:] != of[:-1])[: len(of)]
+                gap = np.where(first, lead, np.diff(lead, prepend=0) - 1)
+                gap, row = gap[gap >= 0], of[gap >= 0]
+                ends = np.cumsum(gap // 255 + 1)
+                code = np.full(ends[-1] if len(ends) else 0, 255, np.uint8)
+                code[ends - 1] = gap % 255
+                length = np.bincount(row, weights=gap // 255 + 1, minlength=part.num_rows).astype(np.int64)
+                raw, cuts = code.tobytes(), np.concatenate(([0], np.cumsum(length)))
+                short = pa.array([raw[lo:hi] for lo, hi in zip(cuts[:-1], cuts[1:])], pa.binary())
+                yield pa.RecordBatch.from_arrays([part.column(0), pa.array(size.astype(np.int64)), short], ["node", "size", "short"])
+
+    return run
+
+
+def _leads(short: pa.Array, drop: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(row << 54 | leading bits) of the members in these short forms, each once, without the last ``drop`` bits of
+    each row; and how many a row has."""
+    texts = short.to_pylist()
+    code = np.frombuffer(b"".join(texts), np.uint8)
+    ends = np.flatnonzero(code < 255)
+    cuts = np.cumsum([0, *map(len, texts)])
+    row = np.searchsorted(cuts, ends, side="right") - 1
+    # Every member adds its bytes and one.
+    total = np.cumsum(code, dtype=np.int64)[ends] + np.arange(1, len(ends) + 1)
+    before = np.searchsorted(ends, cuts[:-1])
+    base = np.concatenate(([0], total))[before]
+    key = np.unique((row << 54) | (total - base[row] - 1 >> drop[row]))
+    return key, np.bincount(key >> 54, minlength=len(short))
+
+
+def possible_rows(percent: int):
+    """A task over (a, b, size_a, size_b, short_a, short_b, reach, least): the pairs whose short forms agree in so
+    many members that they, or members of their groups, may be linked."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for at in range(0, batch.num_rows, STEP):
+                part = batch.slice(at, STEP)
+                size_a, size_b, reach, least = (part.column(c).to_numpy() for c in (2, 3, 6, 7))
+                bits_a, bits_b = _short_bits(size_a), _short_bits(size_b)
+                bits = np.minimum(bits_a, bits_b)
+                (key_a, n_a), (key_b, n_b) = _leads(part.column(4), bits_a - bits), _leads(part.column(5), bits_b - bits)
+                agree = np.bincount(np.intersect1d(key_a, key_b, assume_unique=True) >> 54, minlength=part.num_rows)
+                # Members of one set with the same leading bits may all be shared.
+                most = agree + np.minimum(size_a - n_a, size_b - n_b)
+                kept = pa.array((most + reach) * (100 + percent) >= least * percent)
+                yield pa.RecordBatch.from_arrays([part.column(0).filter(kept), part.column(1).filter(kept)], ["a", "b"])
+
+    return run
+
+
 def _enough(shared: Column, sizes: Column, percent: int) -> Column:
     """Whether so many shared members link two sets of these sizes, given their sum."""
     return shared * (100 + percent) >= sizes * percent
@@ -157,17 +227,35 @@ class Sets:
     words: int
     percent: int
 
-    def whole(self, wanted: DataFrame) -> DataFrame:
-        """(node, members): the whole sets of these nodes, stored."""
+    def _made(self, wanted: DataFrame, task, schema: str, label: str) -> DataFrame:
+        """What ``task`` makes of the (node, text) of these nodes, stored; one row for each node."""
         places = self.nodes.join(broadcast_if_small(stored(wanted.distinct(), "wanted"), 16), "node", "left_semi")
         places = stored(places.select("node", F.col("id").alias("__id"), F.col("mixed").alias("__mixed")), "places")
         found = self.texts.join(broadcast_if_small(places, 48), same(F.col("id"), F.col("__id")) & (F.col("mixed") == F.col("__mixed")))
-        made = found.select("node", "text").mapInArrow(tidy(set_rows(self.words)), "node bigint, members array<bigint>")
-        made = stored(made, "sets")
+        made = stored(found.select("node", "text").mapInArrow(tidy(task), schema), label)
         n = made.agg(F.count("node"), F.count_distinct("node")).first()
         # Rows of one id and one text hold the same set.
         return made if n[0] == n[1] else made.dropDuplicates(["node"])
 
+    def whole(self, wanted: DataFrame) -> DataFrame:
+        """(node, members): the whole sets of these nodes, stored."""
+        return self._made(wanted, set_rows(self.words), "node bigint, members array<bigint>", "sets")
+
+    def possible(self, pairs: DataFrame, reach: DataFrame) -> DataFrame:
+        """The pairs (a, b) of leaders that short forms of their sets do not rule out: neither they nor, by the
+        ``reach`` (node, reach, least) of their groups, the members of these can be linked."""
+        pairs = stored(pairs, "pairs")
+        wanted = pairs.select(F.col("a").alias("node")).union(pairs.select("b"))
+        short = self._made(wanted, short_rows(self.words), "node bigint, size bigint, short binary", "short")
+        short = short.join(reach, "node", "left")
+        short = short.withColumns({"reach": F.coalesce("reach", F.lit(0)), "least": F.least("least", "size")})
+        names = ("size", "short", "reach", "least")
+        for side in ("a", "b"):
+            pairs = pairs.join(short.select(F.col("node").alias(side), *[F.col(n).alias(f"{n}_{side}") for n in names]), side)
+        total = [(F.col(f"{n}_a") + F.col(f"{n}_b")).cast("bigint").alias(n) for n in ("reach", "least")]
+        pairs = pairs.select("a", "b", "size_a", "size_b", "short_a", "short_b", *total)
+        return pairs.mapInArrow(tidy(possible_rows(self.percent)), "a bigint, b bigint")
+
     def shared(self, pairs: DataFrame, differences: bool = False) -> DataFrame:
         """Pairs (a, b) with both sizes and the number of shared members; of linked pairs, if asked for, what
         ``b`` has ``more`` and ``less`` than ``a``. Stored."""
@@ -346,12 +434,14 @@ def _connected(index: DataFrame, sets: Sets) -> DataFrame:
     todo = stored(_open_blocks(_blocks(index, groups, connected), percent), "open")
     if todo.isEmpty():
         return connected
+    # How many members a group's sets have more than their leader, and the least of their sizes.
+    reach = groups.groupBy(F.col("a").alias("node")).agg(F.max(F.size("more")).alias("reach"), F.min("size_b").alias("least"))
+    reach = stored(reach, "reach")
     # Leaders that were compared before are not compared again.
-    fresh = sets.shared(todo.join(found.select("a", "b"), ["a", "b"], "left_anti"))
+    fresh = todo.join(found.select("a", "b"), ["a", "b"], "left_anti")
+    fresh = sets.shared(sets.possible(fresh, reach))
     compared = found.select(*fresh.columns).join(todo, ["a", "b"], "left_semi").union(fresh)
     links = stored(connected.toDF("a", "b").union(fresh.filter("linked").select("a", "b")), "links")
-    # How many members a group's sets have more than their leader, and the least of their sizes.
-    reach = groups.groupBy("a").agg(F.max(F.size("more")).alias("reach"), F.min("size_b").alias("least"))
     near = compared.filter("NOT linked")
     for side in ("a", "b"):
         near = near.join(reach.toDF(side, f"reach_{side}", f"least_{side}"), side, "left")

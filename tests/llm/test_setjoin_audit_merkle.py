@@ -4,6 +4,7 @@ import hashlib
 import itertools
 import random
 
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 from test_llm_small import HARD, hard  # noqa: F401
@@ -114,6 +115,40 @@ def test_join_makes_no_pairs_of_a_group(spark, monkeypatch):
     assert sum(compared) < 20 * 2000
 
 
+def test_short_forms_bound_what_sets_share():
+    """No pair that shares enough is ruled out, and most of those that share little are; sizes far apart, sets with
+    equal leading bits and empty sets included."""
+    rng = random.Random(11)
+    vocabulary = [f"w{i}" for i in range(3000)]
+    left, right = [], []
+    for n in [0, 1, 2, 7, 40, 300, 2500] * 12:
+        base = rng.sample(vocabulary, n)
+        left.append(" ".join(base))
+        kept = base[: int(n * rng.choice((0.1, 0.5, 0.75, 0.88, 0.95, 1)))]
+        right.append(" ".join(kept + [f"v{rng.random()}" for _ in range(rng.choice((0, n // 9, n)))]) if n else "one")
+
+    def shorts(texts):
+        batch = pa.RecordBatch.from_pydict({"node": list(range(len(texts))), "text": texts})
+        return [b.to_pydict() for b in setjoin.short_rows(1)(iter([batch]))][0]
+
+    a, b = shorts(left), shorts(right)
+    sets = [(set(x.split()), set(y.split())) for x, y in zip(left, right)]
+    assert a["size"] == [len(x) for x, _ in sets] and b["size"] == [len(y) for _, y in sets]
+    names = {"a": a["node"], "b": b["node"], "size_a": a["size"], "size_b": b["size"], "short_a": a["short"], "short_b": b["short"]}
+
+    def kept(reach, least):
+        pairs = pa.RecordBatch.from_pydict({**names, "reach": [reach] * len(sets), "least": least})
+        return {i for out in setjoin.possible_rows(80)(iter([pairs])) for i in out.column(0).to_pylist()}
+
+    sizes = [len(x) + len(y) for x, y in sets]
+    linked = {i for i, (x, y) in enumerate(sets) if x and 100 * len(x & y) >= 80 * len(x | y)}
+    far = {i for i, (x, y) in enumerate(sets) if 100 * len(x & y) < 70 * len(x | y)}
+    found = kept(0, sizes)
+    assert linked and linked <= found and len(far) > 10 and not (found & {i for i in far if sizes[i] > 100})
+    reached = {i for i, (x, y) in enumerate(sets) if 180 * (len(x & y) + 5) >= 80 * sizes[i]}
+    assert reached <= kept(5, sizes)
+
+
 # filter audit
 
 
