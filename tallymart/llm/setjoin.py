@@ -173,8 +173,8 @@ def short_rows(k: int):
 
 
 def _leads(short: pa.Array, drop: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """(row << 54 | leading bits) of the members in these short forms, each once, without the last ``drop`` bits of
-    each row; and how many a row has."""
+    """(row << 54 | leading bits) of the members in these short forms, each once and in rising order, without the
+    last ``drop`` bits of each row; and how many a row has."""
     texts = short.to_pylist()
     code = np.frombuffer(b"".join(texts), np.uint8)
     ends = np.flatnonzero(code < 255)
@@ -184,7 +184,8 @@ def _leads(short: pa.Array, drop: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     total = np.cumsum(code, dtype=np.int64)[ends] + np.arange(1, len(ends) + 1)
     before = np.searchsorted(ends, cuts[:-1])
     base = np.concatenate(([0], total))[before]
-    key = np.unique((row << 54) | (total - base[row] - 1 >> drop[row]))
+    key = (row << 54) | (total - base[row] - 1 >> drop[row])
+    key = key[np.append(True, key[1:] != key[:-1])[: len(key)]]
     return key, np.bincount(key >> 54, minlength=len(short))
 
 
@@ -200,7 +201,9 @@ def possible_rows(percent: int):
                 bits_a, bits_b = _short_bits(size_a), _short_bits(size_b)
                 bits = np.minimum(bits_a, bits_b)
                 (key_a, n_a), (key_b, n_b) = _leads(part.column(4), bits_a - bits), _leads(part.column(5), bits_b - bits)
-                agree = np.bincount(np.intersect1d(key_a, key_b, assume_unique=True) >> 54, minlength=part.num_rows)
+                # Two rising runs, which this kind of sort merges.
+                both = np.sort(np.concatenate((key_a, key_b)), kind="stable")
+                agree = np.bincount(both[1:][both[1:] == both[:-1]] >> 54, minlength=part.num_rows)
                 # Members of one set with the same leading bits may all be shared.
                 most = agree + np.minimum(size_a - n_a, size_b - n_b)
                 kept = pa.array((most + reach) * (100 + percent) >= least * percent)
