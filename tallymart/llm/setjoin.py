@@ -314,12 +314,15 @@ def _leaders(index: DataFrame, percent: int) -> DataFrame:
 
 def _drawn(long: DataFrame, connected: DataFrame, percent: int, turn: int) -> DataFrame:
     """Pairs (a, b): sets of long lists, and members of other parts drawn from the largest part of their lists,
-    a few for each. Other turns draw others, and more."""
+    a few for each. The first turn draws those with the smallest share of rare members, which are linked with most
+    others; other turns draw any, and more. Of parts of one size, that with such a set is taken."""
     rows = long.join(connected.toDF("node", "part"), "node", "left").withColumn("part", F.coalesce("part", "node"))
     rows = stored(rows, "long-parts")
-    one = F.min_by(F.struct("node", "size", "rest"), F.xxhash64("node", "member", F.lit(turn))).alias("head")
+    rare = 1 - F.col("rest") / F.col("size") if turn == 1 else F.lit(0.0)
+    one = F.min_by(F.struct("node", "size", "rest"), F.struct(rare, F.xxhash64("node", "member", F.lit(turn)))).alias("head")
     parts = rows.groupBy("member", "part").agg(F.count(F.lit(1)).alias("n"), one)
-    main = parts.groupBy("member").agg(F.max_by(F.struct("part", "head"), F.struct("n", "part")).alias("main"), F.count(F.lit(1)).alias("parts"))
+    largest = F.struct("n", F.col("head.rest") / F.col("head.size"), "part")
+    main = parts.groupBy("member").agg(F.max_by(F.struct("part", "head"), largest).alias("main"), F.count(F.lit(1)).alias("parts"))
     rows = rows.join(main.filter("parts > 1").select("member", "main.part", "main.head").toDF("member", "main", "head"), "member")
     near = F.least("size", "head.size") * 100 >= F.greatest("size", "head.size") * percent
     placed = _enough(F.least("rest", "head.rest"), F.col("size") + F.col("head.size"), percent)
@@ -358,13 +361,10 @@ def _grouped(links: DataFrame) -> DataFrame:
 
 
 def _blocks(index: DataFrame, groups: DataFrame, connected: DataFrame) -> DataFrame:
-    """(member, leader, part, least, most, rest, group) of the groups in lists that are not yet all in one part, stored."""
+    """(member, leader, part, least, most, rest) of the groups in lists that are not yet all in one part, stored."""
     named = index.join(groups.select(F.col("b").alias("node"), F.col("a").alias("leader")), "node", "left")
-    named = named.join(groups.select(F.col("a").alias("node")).distinct().withColumn("leads", F.lit(True)), "node", "left")
-    named = named.withColumns({"leader": F.coalesce("leader", "node"), "group": F.col("leader").isNotNull() | F.col("leads").isNotNull()})
-    blocks = named.groupBy("member", "leader").agg(
-        F.min("size").alias("least"), F.max("size").alias("most"), F.max("rest").alias("rest"), F.bool_or("group").alias("group")
-    )
+    named = named.withColumn("leader", F.coalesce("leader", "node"))
+    blocks = named.groupBy("member", "leader").agg(F.min("size").alias("least"), F.max("size").alias("most"), F.max("rest").alias("rest"))
     blocks = blocks.join(connected.toDF("leader", "part"), "leader", "left").withColumn("part", F.coalesce("part", "leader"))
     blocks = stored(blocks, "all-blocks")
     mixed = blocks.groupBy("member").agg(F.min("part").alias("low"), F.max("part").alias("high")).filter("low < high")
@@ -373,22 +373,18 @@ def _blocks(index: DataFrame, groups: DataFrame, connected: DataFrame) -> DataFr
 
 def _open_blocks(blocks: DataFrame, percent: int) -> DataFrame:
     """Pairs (a, b), in hash order, of leaders whose groups are not connected and may hold a link. Blocks meet only in
-    lists of one member and of one class of size or two that follow each other. Two sets that are no groups share
-    their common lists and what is behind the last of these, at most."""
+    lists of one member and of one class of size or two that follow each other, and only where enough is behind the
+    member in both: so it is at the first member that two linked sets share."""
     low, high = (_size_class(F.col(c), percent) for c in ("least", "most"))
-    names = ("leader", "part", "least", "most", "rest", "group")
+    names = ("leader", "part", "least", "most", "rest")
     left = blocks.withColumn("class", F.explode(F.sequence(low, high))).select("member", "class", *[F.col(c).alias(f"{c}_a") for c in names])
     right = blocks.withColumn("class", F.explode(F.sequence(low - 1, high + 1))).select("member", "class", *[F.col(c).alias(f"{c}_b") for c in names])
     apart = (F.col("part_a") != F.col("part_b")) & (F.xxhash64("leader_a") < F.xxhash64("leader_b"))
     sized = (F.col("most_a") * 100 >= F.col("least_b") * percent) & (F.col("most_b") * 100 >= F.col("least_a") * percent)
     key = (left["member"] == right["member"]) & (left["class"] == right["class"])
     rest, sizes = F.least("rest_a", "rest_b"), F.col("least_a") + F.col("least_b")
-    met = left.join(right, key & apart & sized).groupBy(F.col("leader_a").alias("a"), F.col("leader_b").alias("b")).agg(
-        F.count(F.lit(1)).alias("n"), F.min(rest).alias("behind"), F.min(sizes).alias("sizes"),
-        F.bool_or(F.col("group_a") | F.col("group_b")).alias("groups"), F.bool_or(_enough(rest, sizes, percent)).alias("placed"),
-    )
-    enough = F.col("groups") | _enough(F.col("n") + F.col("behind") - 1, F.col("sizes"), percent)
-    return met.filter(F.col("placed") & enough).select("a", "b")
+    placed = _enough(rest, sizes, percent)
+    return left.join(right, key & apart & sized & placed).select(F.col("leader_a").alias("a"), F.col("leader_b").alias("b")).distinct()
 
 
 def _derived(near: DataFrame, groups: DataFrame, sets: Sets, links: DataFrame) -> DataFrame:
