@@ -17,7 +17,6 @@ from tallymart.plans.contracts import (
     BAND_PATTERN,
     CUTS,
     FUNCTION_KEYS,
-    LAST_BAND,
     WAITING_MEASURES,
     WAITING_PREFIX,
     WAITING_RATIO,
@@ -33,11 +32,22 @@ from .base import PART_TYPES, WAITS_SQL, backlog_sums_sql, query, table, waits,
 BAND_KEYS = ["report_month", "provider_org_code", "l_returnflag"]
 
 
+def bands_to_columns(rows, keys):
+    """One row per key with 105 band columns, missing where nothing waits.
+
+    A key has few of the bands, so its sums are gathered as a map and become columns one row at a time. The hash
+    table of a pivot holds all 105 cells of every key of a task.
+    """
+    sums = rows.groupBy(*keys, "band").agg(F.sum("pathways").alias("pathways"))
+    cell = F.when(F.col("band").isNotNull(), F.struct("band", "pathways"))
+    cells = F.map_from_entries(F.collect_list(cell))
+    gathered = sums.groupBy(*keys).agg(cells.alias("cells"))
+    return gathered.select(*keys, *[F.col("cells")[w].alias(n) for w, n in enumerate(band_columns())])
+
+
 def wide_bands(spark, sf_dir):
-    """One row per month, provider and part type with 105 band columns, missing where nothing waits."""
-    rows = waits(spark, sf_dir)
-    wide = rows.groupBy(*BAND_KEYS).pivot("band", list(range(LAST_BAND + 1))).agg(F.sum("pathways"))
-    return wide.toDF(*BAND_KEYS, *band_columns())
+    """One row per month, provider and part type with 105 band columns."""
+    return bands_to_columns(waits(spark, sf_dir), BAND_KEYS)
 
 
 @query(
@@ -128,7 +138,7 @@ def published_rows(spark, sf_dir):
     rows = waits(spark, sf_dir).drop("line_number")
     rows = rows.select("report_month", "provider_org_code", "l_returnflag", "band", "pathways", F.inline(F.array(own, everything)))
     keys = ["report_month", "provider_org_code", "l_returnflag", *FUNCTION_KEYS]
-    wide = rows.groupBy(*keys).pivot("band", list(range(LAST_BAND + 1))).agg(F.sum("pathways")).toDF(*keys, *band_columns())
+    wide = bands_to_columns(rows, keys)
     part = F.create_map(*[F.lit(x) for pair in PART_TYPES.items() for x in pair])[F.col("l_returnflag")]
     named = {
         "period": F.concat(F.lit(WAITING_PREFIX), F.date_format("report_month", "MMMM-yyyy")),

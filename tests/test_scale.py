@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from conftest import TESTDATA
 from sfqueries import REGISTRY
-from sfqueries.facts import provider_fact
+from sfqueries.facts import bands_to_columns, provider_fact, published_rows, wide_bands
 from tallymart.operators import (
     build_fact,
     character_profile,
@@ -21,6 +21,7 @@ from tallymart.operators import (
     rank_within,
     rows_and_distinct,
 )
+from tallymart.plans.contracts import band_columns
 from tallymart.sources import save_table
 
 
@@ -63,6 +64,19 @@ def test_sums_are_combined_before_they_are_shuffled(spark):
     assert "partial_sum(total_waiting" in below
 
 
+@pytest.mark.parametrize("rows", [published_rows, wide_bands])
+def test_no_task_holds_all_cells_of_its_keys(spark, rows):
+    assert "pivotfirst" not in plan(rows(spark, TESTDATA))
+
+
+def test_bands_to_columns(spark):
+    cells = [(1, 0, 5), (1, 0, 2), (1, 104, None), (1, 104, 3), (1, 7, None), (None, 3, 4), (None, 3, 4), (2, None, 9), (2, None, 9)]
+    out = bands_to_columns(spark.createDataFrame(cells, "k int, band int, pathways bigint"), ["k"])
+    assert out.columns == ["k", *band_columns()]
+    found = {r[0]: {w: n for w, n in enumerate(r[1:]) if n is not None} for r in out.collect()}
+    assert found == {1: {0: 7, 104: 3}, None: {3: 8}, 2: {}} and out.count() == 3
+
+
 def test_key_check_shuffles_keys_not_rows(no_broadcast):
     fact = no_broadcast.range(1000).select((F.col("id") * 0).alias("k"), F.lit("payload").alias("x"))
     dim = no_broadcast.range(5).withColumnRenamed("id", "k")
