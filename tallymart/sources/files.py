@@ -100,21 +100,27 @@ def files_with_breaks(spark: SparkSession, paths: Paths, pattern: str = "*.csv",
     return lines.filter(quotes % 2 == 1).select(_path_key(plain_path("_metadata.file_path")).alias("path")).distinct()
 
 
-def _whole_number(text: Column, kind: T.DataType) -> Column:
-    """A count, also written as ``12.0`` or ``1e3``; null for text that is no whole number."""
-    number = text.try_cast("decimal(38,6)")
-    return F.coalesce(text.try_cast(kind), F.when(number == F.floor(number), number.try_cast(kind)))
-
-
 def typed_cell(text: Column, kind: T.DataType, name: str, on_bad_cell: str = "fail") -> Column:
-    """The value of a cell of its declared type; what is not of it stops the job, or is null with ``"null"``."""
+    """The value of a cell of its declared type; what is not of it stops the job, or is null with ``"null"``. A count may
+    also be written as ``12.0`` or ``1e3``.
+
+    What a plain cast does not read is looked at in an array of one, which is not part of the generated code: with it
+    inline, a dozen columns make a method too long for the JVM to compile.
+    """
     if isinstance(kind, T.StringType):
         return text
-    value = _whole_number(text, kind) if isinstance(kind, T.IntegralType) else text.try_cast(kind)
-    if on_bad_cell == "null":
-        return value
-    message = F.concat(F.lit(f"malformed cell of column {name}, no {kind.simpleString()}: "), text)
-    return F.when(text.isNull() | value.isNotNull(), value).otherwise(F.raise_error(message).cast(kind))
+
+    def other(cell: Column) -> Column:
+        found = []
+        if isinstance(kind, T.IntegralType):
+            number = cell.try_cast("decimal(38,6)")
+            found.append(F.when(number == F.floor(number), number.try_cast(kind)))
+        if on_bad_cell != "null":
+            message = F.concat(F.lit(f"malformed cell of column {name}, no {kind.simpleString()}: "), cell)
+            found.append(F.raise_error(message).cast(kind))
+        return F.coalesce(*found) if found else F.lit(None).cast(kind)
+
+    return F.coalesce(text.try_cast(kind), F.when(text.isNotNull(), F.transform(F.array(text), other)[0]))
 
 
 @dataclass(frozen=True)

@@ -2,6 +2,7 @@
 
 import datetime as dt
 import io
+import re
 from types import SimpleNamespace
 
 import pytest
@@ -85,6 +86,26 @@ def test_a_bad_cell_is_not_silently_missing(spark, tmp_path, line):
     }
 
 
+def test_code_of_a_typed_read_is_short_enough_to_be_compiled(spark, tmp_path):
+    names = [f"c{i}" for i in range(24)]
+    (tmp_path / "a.csv").write_text(",".join(names) + "\n" + ",".join(["12.0", "1e3", " 7 ", "NA"] * 6) + "\n")
+    df = read_csv(spark, str(tmp_path), T.StructType([T.StructField(n, T.LongType()) for n in names]), lineage=None)
+    assert list(df.first()) == [12, 1000, 7, None] * 6
+    code = spark._jvm.PythonSQLUtils.explainString(df._jdf.queryExecution(), "codegen")
+    # The JVM compiles no method of more than 8,000 bytes.
+    assert max(map(int, re.findall(r"maxMethodCodeSize:(\d+)", code)), default=0) < 8000
+
+
+@pytest.mark.parametrize("kind", ["bigint", "int", "double", "date", "boolean", "decimal(9,2)"])
+def test_a_bad_cell_of_each_type(spark, tmp_path, kind):
+    (tmp_path / "a.csv").write_text("k,v\na,12.5.0\nb,NA\n")
+    schema = T.StructType.fromDDL(f"k string, v {kind}")
+    with pytest.raises(Exception, match="malformed cell of column v"):
+        read_csv(spark, str(tmp_path), schema, lineage=None).collect()
+    read = read_csv(spark, str(tmp_path), schema, lineage=None, on_bad_cell="null")
+    assert sorted(map(tuple, read.collect())) == [("a", None), ("b", None)]
+
+
 def test_rows_can_be_chosen_in_the_scan(spark, tmp_path):
     write(tmp_path / "a.csv", 'code,n\n A ,1\nAB,2\n" A",3\nB,4\n,5\n')
     write(tmp_path / "b.csv", "n\n6\n")
