@@ -166,8 +166,9 @@ def bigrams_of(row: dict, number: np.ndarray):
     numbers = np.append(number, START)
     usable = (number[tokens] != UNSEEN) & (numbers[before] != UNSEEN)
     # Sorted by number, so that a context's bigrams lie together.
-    rank = np.argsort(np.argsort(numbers, kind="stable"), kind="stable")
     back = np.argsort(numbers, kind="stable")
+    rank = np.empty(len(back), np.int64)
+    rank[back] = np.arange(len(back))
     key = rank[before[usable]] * len(numbers) + rank[tokens[usable]]
     pairs, place = np.unique(key, return_inverse=True)
     places = np.full(len(tokens), -1, np.int64)
@@ -267,7 +268,7 @@ class Trie:
         self.file.write(b"\0" * 64)
         self.file.flush()
         self.bytes = os.path.getsize(self.file.name)
-        mapped = np.memmap(self.file.name, np.uint8, "r")
+        mapped = np.memmap(self.file.name, np.uint8, "r").view(np.ndarray)  # reads of a plain array cost less
         views = [mapped[at : at + int(np.prod(shape)) * kind.itemsize].view(kind).reshape(shape) for at, kind, shape in places]
         for k, level in enumerate(levels):
             level.low, level.high, level.samples = views[3 * k : 3 * k + 3]
@@ -275,17 +276,23 @@ class Trie:
         self.codes = views[-1]
 
     def codes_of(self, context: np.ndarray, word: np.ndarray) -> np.ndarray:
-        """The code of each bigram, 0 if it was not seen in training."""
+        """The code of each bigram, 0 if it was not seen in training. Bigrams of a context that follow one another
+        share one search for it."""
         n = self.contexts.size
         out = np.zeros(len(context), np.uint8)
         if not n or not len(context):
             return out
-        wanted = (context + 1).astype(W.U64)
-        place = self.contexts.successor(wanted, np.zeros(len(context), np.int64), np.full(len(context), n))
-        found = np.flatnonzero(place < n)
-        found = found[self.contexts.at(place[found]) == wanted[found]]
-        place = place[found]
-        lo, hi = (self.pointers.at(place + k).astype(np.int64) for k in (0, 1))
+        firsts = np.flatnonzero(np.concatenate(([True], context[1:] != context[:-1])))
+        runs = np.diff(np.append(firsts, len(context)))
+        wanted = (context[firsts] + 1).astype(W.U64)
+        place = self.contexts.successor(wanted, np.zeros(len(wanted), np.int64), np.full(len(wanted), n))
+        held = np.flatnonzero(place < n)
+        held = held[self.contexts.at(place[held]) == wanted[held]]
+        lo, hi = (np.repeat(self.pointers.at(place[held] + k).astype(np.int64), runs[held]) for k in (0, 1))
+        is_held = np.zeros(len(firsts), bool)
+        is_held[held] = True
+        found = np.flatnonzero(np.repeat(is_held, runs))
+        place = np.repeat(place[held], runs[held])
         value = (place * self.width + word[found]).astype(W.U64)
         known = word[found] < self.width
         at = self.successors.successor(value, lo, hi)

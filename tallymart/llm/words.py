@@ -68,7 +68,9 @@ class WordHasher:
         data, at = text_bytes(column)
         inside = self.inside[data]
         firsts = at[:-1][at[:-1] < len(data)]
-        breaks = np.union1d(np.flatnonzero(~inside), firsts)
+        ends_word = ~inside
+        ends_word[firsts] = True
+        breaks = np.flatnonzero(ends_word)
         hashes, places = [], []
         for lo, hi in self._slices(breaks, len(data)):
             part = inside[lo:hi]

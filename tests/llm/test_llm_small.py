@@ -466,6 +466,24 @@ def test_bigram_scores(spark, hard):
     assert {r.train_tokens for r in lm.score(hard, F.lit(True)).collect()} == {0}
 
 
+def test_lm_searches_a_context_once_for_its_bigrams(monkeypatch):
+    from tallymart.llm.eliasfano import EliasFano
+
+    rng = np.random.default_rng(1)
+    pairs = np.unique(rng.integers([-1, 0], [40, 300], (2000, 2)), axis=0)
+    pairs = pairs[pairs[:, 0] % 3 != 1]
+    trie = lm.Trie(pairs[:, 0], pairs[:, 1], rng.integers(1, 9, len(pairs)), np.full(len(pairs), 50))
+    code = {tuple(p): c for p, c in zip(pairs.tolist(), trie.codes)}
+    wanted = np.array(list(itertools.product(range(-1, 45), range(310))))
+    sizes = []
+    search = EliasFano.successor
+    monkeypatch.setattr(EliasFano, "successor", lambda self, value, lo, hi: sizes.append(len(value)) or search(self, value, lo, hi))
+    for order in (np.arange(len(wanted)), rng.permutation(len(wanted))):
+        got = trie.codes_of(*wanted[order].T)
+        assert got.tolist() == [code.get(tuple(p), 0) for p in wanted[order].tolist()]
+    assert sizes[0] == 46 and trie.codes_of(wanted[:0, 0], wanted[:0, 1]).size == 0
+
+
 def test_elias_fano():
     import numpy as np
 
